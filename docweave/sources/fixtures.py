@@ -122,3 +122,34 @@ def derived_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.col("body"), F.lit("</urlset>")).alias("xml"),
         )
     )
+
+
+def deep_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deep-crawl items, one per seed host, with settings that vary by host
+    so every filter and the page budget are exercised."""
+    s = derived_seeds(spark, sf_dir)
+    h = F.col("host")
+    return s.select(
+        h.alias("item_id"),
+        F.col("url"),
+        (~h.startswith("m.")).alias("include_subdomains"),
+        F.lit(False).alias("include_external"),
+        F.lit(2).alias("max_depth"),
+        F.when(h.startswith("blog."), F.lit(3)).otherwise(F.lit(100)).alias("max_pages"),
+        F.when(h.startswith("www."), F.lit("/(de|es)/")).otherwise(F.lit("")).alias("paths_to_skip_regex"),
+    )
+
+
+def filter_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(item_id, src, variant, url)``: every link target of a host's pages,
+    as found and re-spelled on a look-alike host, a foreign host and a
+    subdomain, offered to the host's item."""
+    links = derived_links(spark, sf_dir)
+    dst = F.col("dst")
+    spellings = F.array(
+        F.struct(F.lit(0).alias("variant"), dst.alias("url")),
+        F.struct(F.lit(1).alias("variant"), F.regexp_replace(dst, r"^(https?://)([^/?#]+)", "$1$2.evil.example").alias("url")),
+        F.struct(F.lit(2).alias("variant"), F.regexp_replace(dst, r"^(https?://)([^/?#]+)", "$1other.example.org").alias("url")),
+        F.struct(F.lit(3).alias("variant"), F.regexp_replace(dst, r"^(https?://)(?:www\.)?([^/?#]+)", "$1docs.$2").alias("url")),
+    )
+    return links.select(raw_host(F.col("src")).alias("item_id"), "src", F.inline(spellings))
