@@ -184,8 +184,10 @@ def page_links(pages_df, url_col: str = "url", html_col: str = "html", id_col: s
         F.col(id_col), F.col(url_col).alias("page_url"),
         F.posexplode(extract_hrefs(F.col(html_col))).alias("pos", "href"),
     )
-    resolved = resolve_link(F.col("page_url"), F.col("href"))
+    # staged projections: each intermediate is computed once (a column used
+    # several times downstream is not inlined by the optimizer)
+    resolved = exploded.withColumn("resolved", resolve_link(F.col("page_url"), F.col("href")))
     return (
-        exploded.select(id_col, "page_url", "pos", "href", normalize_url(resolved).alias("link"))
+        resolved.select(id_col, "page_url", "pos", "href", normalize_url(F.col("resolved")).alias("link"))
         .where(F.col("link").rlike(r"^(?i)https?://"))
     )

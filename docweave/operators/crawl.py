@@ -100,8 +100,11 @@ def apply_page_budget(visited: DataFrame, settings: DataFrame, salt_buckets: int
     cut = levels.where((F.col("before") < F.col("max_pages")) & (F.col("before") + F.col("s") >= F.col("max_pages"))).select(
         "item_id", F.col("depth").alias("cut_depth"), (F.col("max_pages") - F.col("before")).alias("need")
     )
-    at_cut = visited.where("success").join(cut, (visited["item_id"] == cut["item_id"]) & (visited["depth"] == cut["cut_depth"])).select(
-        visited["item_id"], "url", "need"
+    at_cut = (
+        visited.where("success")
+        .withColumnRenamed("depth", "cut_depth")
+        .join(cut, ["item_id", "cut_depth"])
+        .select("item_id", "url", "need")
     )
     salted = at_cut.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(salt_buckets)))
     w1 = Window.partitionBy("item_id", "salt").orderBy("url")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweave.plans import q_functions  # noqa: F401
+from docweave.plans import q_assemble, q_crawl, q_functions  # noqa: F401
 from docweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "flagship"]
 
 
 def flagship(spark, sf_dir):
-    return QUERIES["domain_manifest"](spark, sf_dir) if "domain_manifest" in QUERIES else QUERIES["page_markdown"](spark, sf_dir)
+    """Flagship: per-domain manifest of the file-per-domain sink."""
+    return QUERIES["domain_manifest"](spark, sf_dir)
