@@ -184,10 +184,12 @@ def page_links(pages_df, url_col: str = "url", html_col: str = "html", id_col: s
         F.col(id_col), F.col(url_col).alias("page_url"),
         F.posexplode(extract_hrefs(F.col(html_col))).alias("pos", "href"),
     )
-    # staged projections: each intermediate is computed once (a column used
-    # several times downstream is not inlined by the optimizer)
-    resolved = exploded.withColumn("resolved", resolve_link(F.col("page_url"), F.col("href")))
-    return (
-        resolved.select(id_col, "page_url", "pos", "href", normalize_url(F.col("resolved")).alias("link"))
-        .where(F.col("link").rlike(r"^(?i)https?://"))
+    # The http(s) test is decided on the raw reference and the page URL, so
+    # the filter stays cheap when pushed below the resolution projection
+    # (filtering on the canonical link would inline the whole resolution).
+    ref = F.trim(F.replace(F.col("href"), F.lit("&amp;"), F.lit("&")))
+    web = F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref.rlike(r"^(?i)https?:")).otherwise(
+        F.col("page_url").rlike(r"^(?i)https?:")
     )
+    resolved = exploded.where(web).withColumn("resolved", resolve_link(F.col("page_url"), F.col("href")))
+    return resolved.select(id_col, "page_url", "pos", "href", normalize_url(F.col("resolved")).alias("link"))

@@ -48,7 +48,9 @@ def crawl_levels(
     already full stop expanding (their deeper levels would be cut anyway).
     """
     settings = items.select(*SETTINGS_COLS)
-    ok_pages = fetch.where("success").select("url")
+    # read at every level: materialise once in the shared checkpoint folder
+    edges = _persist_level(edges.select("src", "dst"), checkpoint)
+    ok_pages = _persist_level(fetch.where("success").select("url"), checkpoint)
     frontier = settings.where(F.col("domain").isNotNull()).select(
         "item_id", normalize_url(F.col("seed_url")).alias("url"), F.lit(0).alias("depth")
     ).distinct()
