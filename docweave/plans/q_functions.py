@@ -294,3 +294,21 @@ def html_select_article(spark, sf):
 @register("filter_nonblank", "SELECT page_id, " + S.nonblank("html") + " AS nonblank FROM derived_fetch", ("derived_fetch",))
 def filter_nonblank(spark, sf):
     return X.derived_fetch(spark, sf).select("page_id", C.is_nonblank("html").alias("nonblank"))
+
+
+_H1_RE = r"(?is)<h1(?:\s[^>]*)?>.*?</h1\s*>"
+_AD_RE = r'(?is)<div\s[^>]*class="ad"[^>]*>.*?</div\s*>'
+
+
+@register(
+    "html_select",
+    f"""SELECT page_id, array_to_string(list_concat(regexp_extract_all(c, {S.q(_H1_RE)}, 0), regexp_extract_all(c, {S.q(_AD_RE)}, 0)), chr(10)) AS selected
+    FROM (SELECT page_id, {S.strip_noise('html')} AS c FROM pages) t""",
+)
+def html_select(spark, sf):
+    """H1 general path: selectors ``h1`` then ``div.ad`` through the parser
+    UDF (noise blocks removed JVM-side first)."""
+    from docweave.functions.select import select_elements
+
+    p = pages(spark, sf).select("page_id", C.strip_noise(F.col("html")).alias("c"))
+    return p.select("page_id", select_elements(F.col("c"), ["h1", "div.ad"]).alias("selected"))

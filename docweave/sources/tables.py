@@ -17,9 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work (HTML regex chains) every core.
+
+    A scan yields one task per file split; a small file with few row groups
+    would leave most cores idle, so such a scan is spread round-robin over
+    the default parallelism.  Large inputs already have more splits than
+    cores and are returned unchanged (no shuffle is added at scale).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured pages ``(page_id, url, html)``."""
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,13 @@ def test_unknown_hash_rejected():
 
     with pytest.raises(ValueError):
         U.content_hash("x", "crc32")
+
+
+def test_select_html_general():
+    from docweave.functions.select import select_html
+
+    html = '<div class="x ad" id="t"><p>a<p>b<div class="ad">in</div></div><h1>T</h1><ul><li>1<li>2</ul>'
+    assert select_html(html, ["div.ad"]) == '<div class="x ad" id="t"><p>a<p>b<div class="ad">in</div></div>'
+    assert select_html(html, ["h1", "#t"]) == '<h1>T</h1>\n<div class="x ad" id="t"><p>a<p>b<div class="ad">in</div></div>'
+    assert select_html(html, ["li"]) == "<li>1\n<li>2"
+    assert select_html(html, []) == html
