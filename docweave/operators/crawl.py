@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions.urls import normalize_url
 from docweave.operators.filters import filter_chain
+from docweave.session import ensure_checkpoint_dir
 
 SALT_BUCKETS = 64
 ORDERS = ("best_first", "bfs")
@@ -47,6 +48,8 @@ def crawl_levels(
     ``fetch(url, success)`` are keyed by canonical URL.  Items whose budget is
     already full stop expanding (their deeper levels would be cut anyway).
     """
+    if checkpoint:
+        ensure_checkpoint_dir(items.sparkSession)
     settings = items.select(*SETTINGS_COLS)
     # read at every level: materialise once in the shared checkpoint folder
     edges = _persist_level(edges.select("src", "dst"), checkpoint)
@@ -169,3 +172,32 @@ def visited_set(*frames: DataFrame, key: str = "norm_url") -> DataFrame:
         part = f.select(key)
         out = part if out is None else out.unionByName(part)
     return out.distinct()
+
+
+class VisitedStore:
+    """The visited set kept between runs as a parquet table of canonical
+    URLs (in shared storage): ``mark`` adds keys not yet present (anti-join,
+    append), ``get`` reads them, ``clear`` empties the table."""
+
+    SCHEMA = "norm_url string"
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path
+
+    def get(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except Exception:  # noqa: BLE001  (no table yet)
+            return self.spark.createDataFrame([], self.SCHEMA)
+
+    def mark(self, urls: DataFrame, col: str = "url") -> int:
+        ensure_checkpoint_dir(self.spark)
+        new = urls.select(normalize_url(F.col(col)).alias("norm_url")).distinct()
+        new = new.join(self.get(), "norm_url", "left_anti").checkpoint(eager=True)
+        n = new.count()
+        if n:
+            new.write.mode("append").parquet(self.path)
+        return n
+
+    def clear(self) -> None:
+        self.spark.createDataFrame([], self.SCHEMA).write.mode("overwrite").parquet(self.path)
