@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweave.constants import UTM_PARAMS  # noqa: F401  (documented dependency of P1)
 from docweave.functions import content as C
 from docweave.functions import urls as U
 from docweave.operators import crawl as G

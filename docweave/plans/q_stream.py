@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.constants import FLUSH_SIZE_MB
-from docweave.functions.urls import normalize_url
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
 from docweave.sources.fixtures import URL_VARIANT_SUFFIXES
@@ -60,4 +59,3 @@ def stream_flush(spark, sf):
     return tagged.groupBy("domain", "flush_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("size").cast("bigint").alias("size"))
 
 
-__all__ = ["normalize_url"]
