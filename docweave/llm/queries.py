@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, fuzzy_lines, repeats, simhash
+from docweave.llm import decontaminate, fuzzy_lines, html_text, licenses, mixing, quality, quotes, repeats, simhash, sketches
 from docweave.sources.tables import table
 
 QUERIES = {}
@@ -21,11 +21,65 @@ def register(name, sql=None):
     return deco
 
 
+#: Token shares of the mix by language.
+TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def labelled_domains(docs, labels):
+    """``(domain, text)`` of the labelled documents: their language."""
+    known = labels.select(F.col("doc_id").alias("_label_id")).distinct()
+    return docs.select("doc_id", F.col("lang").alias("domain"), "text").join(known, F.col("doc_id") == F.col("_label_id"), "left_semi")
+
+
+@register("op1_mixing")
+def op1_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), TARGETS)
+    return mixed.select("doc_id", "n_tokens", *[F.col("posterior")[d].alias(f"p_{d}") for d in sorted(TARGETS)], "domain", "rate", "copies")
+
+
+@register("op2_licenses")
+def op2_licenses(spark, sf_dir):
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["phrase"])
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    starts = F.transform(base, lambda p: p["start"])
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"), "score")
+
+
 @register("op3_decontamination", decontaminate.ORACLE)
 def op3_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op4_html_text")
+def op4_html_text(spark, sf_dir):
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
+
+
+@register("op5_fingerprints")
+def op5_fingerprints(spark, sf_dir):
+    return sketches.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
+def site(docs):
+    """Host and path of a document: its source, and its language within it."""
+    return docs["source"], F.concat_ws("/", docs["source"], docs["lang"])
+
+
+@register("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, table(spark, sf_dir, "labels"), *site(docs))
+
+
+@register("op7_quotations")
+def op7_quotations(spark, sf_dir):
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 @register("op8_line_dedup")
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

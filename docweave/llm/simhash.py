@@ -244,5 +244,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` (all columns) with one document of each group: the
+    least id (a null id only if there is no other), ties by text hash."""
+    found = near_duplicates(df, id_col, text_col, **options).select("doc_id", "component_id", "fp")
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    named = shared_table(found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
+    kept = df.join(named, df[id_col] == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
+    # groups of null ids only: one row for each fingerprint's component
+    lost = found.where("doc_id IS NULL AND component_id IS NULL").select("fp").distinct()
+    if lost.isEmpty():
+        return kept
+    nameless = df.where(F.col(id_col).isNull()).withColumn("_th", th)
+    fps = shared_table(fingerprints_by_text(nameless, text_col, options.get("shingle", 3)), "nameless")
+    entries = fps.groupBy("fp").agg(F.min("_th").alias("_th")).join(lost, "fp", "left_semi")
+    comp = components(fingerprint_links(entries.select("fp"), options.get("max_bits", 2)))
+    entries = entries.join(comp, entries.fp == comp.node, "left").groupBy(F.coalesce("component", "fp").alias("c")).agg(F.min("_th").alias("_kept_th"))
+    rest = nameless.join(entries, F.col("_th") == F.col("_kept_th"), "left_semi").dropDuplicates(["_th"]).drop("_th")
+    return kept.unionByName(rest)
+
+
+def fingerprints_by_text(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """``(_th, fp)``: fingerprints with the text hash in place of an id."""
+    return fingerprints(df, "_th", text_col, shingle).withColumnRenamed("doc_id", "_th")
+
+
 def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

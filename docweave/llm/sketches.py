@@ -14,7 +14,8 @@ into ranges at sampled quantiles, the first document of each range is also
 dealt to the range before it, and each sorted range is read as a stream.
 
 Edge cases: a null text is empty, an empty text has an empty sketch (two of
-them are alike: 1.0); equal ids are ordered by text; null ids come first; the
+them are alike: 1.0); equal ids are ordered by
+text hash; null ids come first; the
 last document is followed by the first, a single one by itself; an empty
 table gives an empty result; other columns are not read.
 """
@@ -153,28 +154,29 @@ def edited(text: str, following: str) -> str:
 
 def in_order(docs: DataFrame) -> DataFrame:
     """``(block, extra, doc_id, text)``: id ranges, each with the document that follows it (``extra``)."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.5 / n))) if n > 1 else []
-    block = F.lit(0)
-    if cuts:  # as many as shuffle partitions
-        block = F.when(F.col("doc_id").isNull(), 0).otherwise(
-            F.aggregate(F.array(*[F.lit(int(c)) for c in cuts]), F.lit(0), lambda s, c: s + (c <= F.col("doc_id")).cast("int")))
-    rows = docs.withColumn("block", block)
-    # a null id sorts below all others; the first document of a range is its least (id, text)
-    heads = sorted((r["block"], r["h"]) for r in rows.groupBy("block").agg(
-        F.min(F.struct("doc_id", F.xxhash64("text").alias("t"))).alias("h")).collect())
-    blocks = [b for b, _ in heads]
-    before = {b: blocks[i - 1] for i, b in enumerate(blocks)}
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = np.array(docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.5 / n) if n > 1 else [])
+    cuts = np.unique(cuts)  # as many as shuffle partitions
+
+    @F.pandas_udf("int")
+    def block_of(doc_id: pd.Series) -> pd.Series:
+        known = np.searchsorted(cuts, doc_id.fillna(0).to_numpy(), side="right")
+        return pd.Series(np.where(doc_id.isna(), 0, known).astype(np.int32))
+
+    rows = docs.withColumn("block", block_of("doc_id")).withColumn("t", F.xxhash64("text"))
+    # the first document of a range is its least (id, text hash); a null id is below all others
+    heads = sorted((r["block"], r["h"]) for r in rows.groupBy("block").agg(F.min(F.struct("doc_id", "t")).alias("h")).collect())
     if not heads:
         return rows.select("block", F.lit(False).alias("extra"), "doc_id", "text")
-    head = F.lit(None).cast("int")
-    for b, h in heads:
-        head = F.when((F.col("block") == b) & F.col("doc_id").eqNullSafe(F.lit(h["doc_id"]).cast("long"))
-                      & (F.xxhash64("text") == h["t"]), F.lit(before[b])).otherwise(head)
-    dealt = F.array_compact(F.array(F.struct("block", F.lit(False).alias("extra")),
-                                    F.when(head.isNotNull(), F.struct(head.alias("block"), F.lit(True).alias("extra")))))
-    return rows.select("doc_id", "text", F.explode(dealt).alias("d")).select("d.block", "d.extra", "doc_id", "text")
+    first, before = dict(heads), {b: heads[i - 1][0] for i, (b, _) in enumerate(heads)}
+    upto = range(heads[-1][0] + 1)
+    at_block = lambda kind, values: F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("block"))
+    is_head = F.col("doc_id").eqNullSafe(at_block("long", [first[b]["doc_id"] if b in first else None for b in upto])) & (
+        F.col("t") == at_block("long", [first[b]["t"] if b in first else None for b in upto]))
+    dealt = F.array_compact(F.array(
+        F.struct(F.col("block").alias("b"), F.lit(False).alias("extra")),
+        F.when(is_head, F.struct(at_block("int", [before.get(b) for b in upto]).alias("b"), F.lit(True).alias("extra")))))
+    return rows.select("doc_id", "text", F.explode(dealt).alias("d")).select(F.col("d.b").alias("block"), "d.extra", "doc_id", "text")
 
 
 def fingerprint_versions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
