@@ -203,35 +203,50 @@ def _contexts(need: DataFrame, docs: DataFrame) -> DataFrame:
             for text, want in zip(f["text"], f["wanted"]):
                 raw = utf8(text)
                 rows += [(w["a"], w["c"], raw[w["pos"] - w["l"]:w["pos"] + w["r"]], w["l"]) for w in want]
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=["a", "c", "ctx", "l"])
+                    rows = []
             yield pd.DataFrame(rows, columns=["a", "c", "ctx", "l"])
 
     cut = docs.join(wanted, "uid").select("text", "wanted").mapInPandas(run, "a long, c long, ctx binary, l int")
     return cut.dropDuplicates(["a", "c"])  # a repeated row gives its contexts again
 
 
-def _scan(rows: DataFrame, length: int) -> DataFrame:
-    """Repeat groups of the buckets ``key``, each scanned in one task."""
+def _scan(rows: DataFrame, length: int, members: bool) -> DataFrame:
+    """Repeat groups of the buckets ``key``, each scanned in one task: a row for
+    each member of each group, or only each suffix's largest extents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in sorted_runs(frames, ["key"], 20_000):
+        for f in sorted_runs(frames, ["key"], 10_000):
             starts = run_starts(f["key"].to_numpy())
             stops = np.append(starts[1:], len(f))
-            ctx, l, a, c = f["ctx"].tolist(), f["l"].tolist(), f["a"].tolist(), f["c"].tolist()
+            ctx, l, a, c = f["ctx"].tolist(), f["l"].tolist(), f["a"].to_numpy(), f["c"].to_numpy()
             lo, hi = f["lo"].tolist(), f["hi"].tolist()
-            out = []
+            far = np.zeros((2, len(f)), np.int32)
+            names, at, ends = [], [], []
             for s, t in zip(starts[stops - starts > 1].tolist(), stops[stops - starts > 1].tolist()):
                 for e, d, group in repeat_groups(ctx[s:t], l[s:t], length, lo[s], hi[s]):
-                    x = s + group[0]
-                    name = xxhash.xxh64_intdigest(ctx[x][l[x] - e:l[x] + d]) - (1 << 63)
-                    out += [(name, a[s + g], c[s + g], e, d) for g in group]
-            if out:
-                yield pd.DataFrame(out, columns=["repeat_id", "a", "c", "e", "d"])
+                    own = np.array(group) + s
+                    if members:
+                        x = own[0]
+                        names += [xxhash.xxh64_intdigest(ctx[x][l[x] - e:l[x] + d]) - (1 << 63)] * len(own)
+                        at.append(own)
+                        ends += [(e, d)] * len(own)
+                    far[0, own] = np.maximum(far[0, own], e)
+                    far[1, own] = np.maximum(far[1, own], d)
+            if members and at:
+                own = np.concatenate(at)
+                e, d = np.array(ends).T
+                yield pd.DataFrame({"repeat_id": names, "a": a[own], "c": c[own], "e": e, "d": d})
+            elif not members:
+                own = np.flatnonzero(far[1])
+                yield pd.DataFrame({"repeat_id": 0, "a": a[own], "c": c[own], "e": far[0, own], "d": far[1, own]})
 
     rows = rows.repartition("key").sortWithinPartitions("key")
     return rows.select("key", "ctx", "l", "a", "c", "lo", "hi").mapInPandas(run, "repeat_id long, a long, c long, e int, d int")
 
 
-def _bucket_groups(ctx: DataFrame, length: int, bucket_rows: int) -> DataFrame:
+def _bucket_groups(ctx: DataFrame, length: int, bucket_rows: int, members: bool) -> DataFrame:
     """Repeat groups of all buckets; buckets over ``bucket_rows`` are cut until they fit."""
     rows = ctx.select(F.col("a").alias("key"), F.lit(0).alias("lo"), F.lit(length - SEED_BYTES).alias("hi"), "a", "c", "ctx", "l")
     fit, ends = [], []
@@ -251,13 +266,12 @@ def _bucket_groups(ctx: DataFrame, length: int, bucket_rows: int) -> DataFrame:
         rows = rows.where(F.expr(f"l >= lo AND length(ctx) - l >= {length} - hi"))
         core = F.expr(f"substring(ctx, l - lo + 1, lo + {length} - hi)")
         rows = shared_table(rows.select(F.xxhash64("a", "lo", "hi", core).alias("key"), "lo", "hi", "a", "c", "ctx", "l"), "cut")
-    return union_all([_scan(part, length) for part in fit] + ends)
+    return union_all([_scan(part, length, members) for part in fit] + ends)
 
 
-def repeat_occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``(repeat_id, uid, start, length)``: every occurrence of every maximal
-    repeat group of ``length`` bytes or more (bytes of the UTF-8 text)."""
+def _indexed(df: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Suffixes at shared anchors, their classes with several occurrences as
+    groups, and the contexts of the buckets that have to be scanned."""
     docs = with_uid(df, id_col, text_col)
     rows = suffixes(docs, length)
     shared = shared_table(rows.groupBy("a").count().where("count > 1").select("a"), "anchors")
@@ -269,11 +283,30 @@ def repeat_occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     need = classes.join(buckets, "a", "left_semi").select("a", "c", "at.*")
     ctx = shared_table(_contexts(need, docs), "contexts")
     whole = classes.where("n > 1").select(F.xxhash64("a", "c").alias("repeat_id"), "a", "c", F.col("at.l").alias("e"), F.col("at.r").alias("d"))
-    groups = shared_table(whole.unionByName(_bucket_groups(ctx, length, bucket_rows)), "groups")
+    return dup, whole, ctx
+
+
+def repeat_occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(repeat_id, uid, start, length)``: every occurrence of every maximal
+    repeat group of ``length`` bytes or more (bytes of the UTF-8 text)."""
+    dup, whole, ctx = _indexed(df, id_col, text_col, length)
+    groups = shared_table(whole.unionByName(_bucket_groups(ctx, length, bucket_rows, True)), "groups")
     return groups.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(
         "repeat_id", "uid", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
 
 
+def repeat_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(uid, start, length)``: for each suffix the union of the groups it is a
+    member of (all of them hold its anchor, so the union is one span)."""
+    dup, whole, ctx = _indexed(df, id_col, text_col, length)
+    groups = whole.unionByName(_bucket_groups(ctx, length, bucket_rows, False))
+    extents = shared_table(groups.groupBy("a", "c").agg(F.max("e").alias("e"), F.max("d").alias("d")), "extents")
+    return extents.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(
+        "uid", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
+
+
 def merge_spans(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     """Union of half-open spans as maximal runs."""
     order = np.argsort(starts, kind="stable")
@@ -288,8 +321,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Each row's bytes without its repeats: ``(doc_id, n_bytes, n_removed,
     n_spans, spans array<struct<start, stop>>, kept binary)``."""
     docs = with_uid(df, id_col, text_col)
-    found = repeat_occurrences(df, id_col, text_col, length, bucket_rows)
-    spans = found.groupBy("uid").agg(F.collect_set(F.struct("start", "length")).alias("found"))
+    found = repeat_spans(df, id_col, text_col, length, bucket_rows)
+    spans = found.groupBy("uid").agg(F.collect_list(F.struct("start", "length")).alias("found"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
