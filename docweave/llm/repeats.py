@@ -41,8 +41,8 @@ from docweave.llm.common import run_starts, shared_table, sorted_runs, union_all
 
 LENGTH = 200
 SEED_BYTES = 64
-#: Contexts that one task scans as one bucket.
-BUCKET_ROWS = 512
+#: Contexts that one task scans as one bucket (about 11 MB of them).
+BUCKET_ROWS = 32_768
 SEGMENT = 1 << 20
 INDEX_BITS = 21
 ROWS = "uid long, a long, c long, pos long, l int, r int"
