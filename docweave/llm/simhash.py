@@ -188,12 +188,13 @@ def filed(fps: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
     parts = max_bits + 1
     full = (1 << BITS) - 1
 
-    def under(df: DataFrame, masks: list[int]) -> DataFrame:
-        return df.select(*carried, F.explode(F.array(*[F.lit(signed(m)) for m in masks])).alias("mask")).select(
+    def under(df: DataFrame, masks) -> DataFrame:
+        return df.select(*carried, F.explode(masks).alias("mask")).select(
             *carried, "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("val"))
 
+    as_array = lambda masks: F.array(*[F.lit(signed(m)) for m in masks])
     masks = split_mask(full, parts)
-    rows = under(fps, masks)
+    rows = under(fps, as_array(masks))
     done: list[DataFrame] = []
     while True:
         hot = shared_table(rows.groupBy("mask", "val").count().where(F.col("count") > bucket_rows).select("mask", "val"), "hot")
@@ -204,7 +205,8 @@ def filed(fps: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
             break
         done.append(rows.join(hot, ["mask", "val"], "left_anti").select(*carried, "mask", "val"))
         rows = rows.join(hot, ["mask", "val"], "left_semi")
-        rows = shared_table(union_all([under(rows.where(F.col("mask") == signed(m)), subs) for m, subs in finer.items() if subs]), "filed")
+        by_mask = F.create_map(*[x for m, subs in finer.items() for x in (F.lit(signed(m)), as_array(subs))])
+        rows = shared_table(under(rows, F.element_at(by_mask, F.col("mask"))), "filed")
         masks = sorted({s for subs in finer.values() for s in subs})
     return union_all(done)
 
