@@ -193,7 +193,9 @@ def scored(source: str) -> tuple[list[tuple[Node, float]], list[tuple[Node, str,
     for n in nodes:
         if n.weight > 0 and not n.skip and n.tag not in LEAVES:
             share = n.weight / total
-            out.append((n, share * share * (1 + 0.1 * n.depth + (0.5 if n.named else 0.0))))
+            # the whole page is no container of its own unless nothing below it holds most of the text
+            base = 0.7 if n.tag in ("", "html", "body") else 1.0
+            out.append((n, share * share * (base + 0.1 * n.depth + (0.5 if n.named else 0.0))))
     return out, blocks
 
 

@@ -36,10 +36,11 @@ from docweave.llm.common import plain_words, shared_table, small_side, utf8
 
 FIT_ROWS = 20_000
 LIST_WORDS = 2_000
-MIN_DOCS = 8
-MIN_LOG_ODDS = 2.5
+MIN_DOCS = 5
+MIN_LOG_ODDS = 3.5
 SITE_BOUND = 1.0
-RIDGE = 1e-2
+RIDGE = 1e-4
+PREFIXES = (4, 5, 6, 7, 8)
 SYMBOLS = re.compile(rb"[^\w\s\x80-\xff]")
 MARKS = re.compile(rb"[^\w\s\x80-\xff.,;:'\"?()-]")
 DIGITS = re.compile(rb"[0-9]")
@@ -69,9 +70,10 @@ def surface(raw: bytes, words: list[bytes]) -> list[float]:
     ]
 
 
-def _log_odds(p):
-    p = np.clip(p, 1e-6, 1 - 1e-6)
-    return np.log(p / (1 - p))
+def terms(words: list[bytes]) -> set[bytes]:
+    """What the lists are made of: words, and heads of words (inflected and compound forms share them)."""
+    own = set(words)
+    return own.union(b"^" + w[:n] for w in set(words) for n in PREFIXES if len(w) > n)
 
 
 class Model(NamedTuple):
@@ -88,8 +90,9 @@ class Model(NamedTuple):
             raw = utf8(text)
             words = plain_words(raw)
             row = surface(raw, words)
+            own = terms(words)
             for words_of in self.lists:
-                hit = [words_of[w] for w in set(words).intersection(words_of)]
+                hit = [words_of[w] for w in own.intersection(words_of)]
                 row += [math.log1p(len(hit)), max(hit, default=0.0), sum(hit) / math.sqrt(1 + len(words))]
             out[i] = row
         return out
@@ -117,29 +120,48 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
-def word_list(sample: DataFrame, target: str, words: int) -> dict[bytes, float]:
-    """Words whose document frequency in the class exceeds that of the others by ``MIN_LOG_ODDS``."""
+def word_counts(sample: DataFrame, targets: list[str]) -> DataFrame:
+    """``(word, n0, n1, t0_0, t0_1, ...)``: documents with the word by half of
+    the sample, in all and of class 1 of each target."""
+    names = ["n", *(f"t{k}_" for k in range(len(targets)))]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            hit, miss = Counter(), Counter()
-            for text, y in zip(f["text"], f["y"]):
-                (hit if y else miss).update(set(plain_words(utf8(text))))
-            yield pd.DataFrame([(w, hit[w], miss[w]) for w in hit.keys() | miss.keys()], columns=["word", "hit", "miss"])
-
-    rows = sample.select("text", F.col(target).alias("y"))
-    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    seen = rows.mapInPandas(run, "word binary, hit long, miss long").groupBy("word").agg(F.sum("hit").alias("hit"), F.sum("miss").alias("miss"))
+            seen = {f"{n}{h}": Counter() for n in names for h in (0, 1)}
+            for text, h, *ys in zip(f["text"], f["half"], *(f[t] for t in targets)):
+                own = terms(plain_words(utf8(text)))
+                seen[f"n{h}"].update(own)
+                for k, y in enumerate(ys):
+                    if y == 1:
+                        seen[f"t{k}_{h}"].update(own)
+            words = list(seen["n0"].keys() | seen["n1"].keys())
+            yield pd.DataFrame({"word": words, **{n: [c[w] for w in words] for n, c in seen.items()}})
+
+    cols = [f"{n}{h}" for n in names for h in (0, 1)]
+    rows = sample.select("text", "half", *targets).mapInPandas(run, "word binary, " + ", ".join(f"{c} long" for c in cols))
+    return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in cols])
+
+
+def word_list(counts: DataFrame, sizes: dict, k: int, halves: tuple[int, ...], words: int) -> dict[bytes, float]:
+    """Words whose document frequency in class 1 of target ``k`` exceeds that of
+    the others by ``MIN_LOG_ODDS``, counted in the given halves of the sample."""
+    add = lambda n: sum(F.col(f"{n}{h}") for h in halves)
+    n1 = sum(n for (h, *ys), n in sizes.items() if h in halves and ys[k] == 1)
+    n0 = sum(n for (h, *_), n in sizes.items() if h in halves) - n1
+    rows = counts.select("word", add(f"t{k}_").alias("hit"), (add("n") - add(f"t{k}_")).alias("miss"))
     lo = F.log((F.col("hit") + 0.5) / (n1 + 1)) - F.log((F.col("miss") + 0.5) / (n0 + 1))
-    top = seen.where(F.col("hit") >= MIN_DOCS).withColumn("lo", lo).where(F.col("lo") > MIN_LOG_ODDS)
+    top = rows.where(F.col("hit") >= MIN_DOCS).withColumn("lo", lo).where(F.col("lo") > MIN_LOG_ODDS)
     return {bytes(r["word"]): r["lo"] for r in top.orderBy(F.desc("lo"), "word").limit(words).collect()}  # LIST_WORDS at most
 
 
 def fit(docs: DataFrame, labels: DataFrame, targets: list[str], id_col: str = "doc_id", text_col: str = "text",
         fit_rows: int = FIT_ROWS, words: int = LIST_WORDS) -> Model | None:
     """Fit on at most ``fit_rows`` labelled documents; None without both classes.
-    A label of 1 is the class whose probability the model gives."""
+    A label of 1 is the class whose probability the model gives.
+
+    A list's own documents would overstate it, so the weights are fitted on
+    lists that the other half of the sample gave; the model takes the lists
+    of the whole sample."""
     known = labels.select(F.col(id_col).alias("_label_id"), *[F.col(t).cast("int").alias(t) for t in targets]).dropna().dropDuplicates(["_label_id"])
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text")).join(known, F.col("_id") == F.col("_label_id"))
     rows = rows.withColumn("_h", F.xxhash64("text")).select("_h", "text", *targets)
@@ -147,25 +169,26 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], id_col: str = "d
     if n > fit_rows:  # thin by hash first, so that the sort is over little more than the sample
         share = min(1.0, 2.0 * fit_rows / n)
         rows = rows.where(F.pmod(F.col("_h"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = rows.dropDuplicates(["_h"])
-    # half of the sample grows the word lists, the other half fits the weights:
-    # a list's own documents would overstate it
-    sample = shared_table(rows.orderBy("_h").limit(fit_rows), "labelled")
-    half = F.pmod(F.xxhash64("_h"), F.lit(2))
-    lists = [word_list(sample.where(half == 0), t, words) for t in targets]
-    model = Model(lists, np.zeros(1), np.ones(1), np.zeros((len(targets), 1)))
+    rows = rows.dropDuplicates(["_h"]).orderBy("_h").limit(fit_rows)
+    sample = shared_table(rows.withColumn("half", F.pmod(F.xxhash64("_h"), F.lit(2)).cast("int")), "labelled")
+    sizes = {tuple(r)[:-1]: r["count"] for r in sample.groupBy("half", *targets).count().collect()}  # classes
+    if any(len({key[k + 1] for key in sizes}) < 2 for k in range(len(targets))):
+        return None
+    counts = shared_table(word_counts(sample, targets), "words")
+    lists = {halves: [word_list(counts, sizes, k, halves, words) for k in range(len(targets))] for halves in ((0,), (1,), (0, 1))}
+    blank = {h: Model(lists[(1 - h,)], np.zeros(1), np.ones(1), np.zeros((len(targets), 1))) for h in (0, 1)}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"x": list(model.features(f["text"])), **{t: f[t] for t in targets}})
+            for h in (0, 1):
+                own = f[f["half"] == h]
+                yield pd.DataFrame({"x": list(blank[h].features(own["text"])), **{t: own[t].to_numpy() for t in targets}})
 
-    got = sample.where(half == 1).mapInPandas(run, "x array<double>, " + ", ".join(f"{t} int" for t in targets)).toPandas()  # fit_rows at most
-    if not len(got) or any(got[t].nunique() < 2 for t in targets):
-        return None
+    got = sample.mapInPandas(run, "x array<double>, " + ", ".join(f"{t} int" for t in targets)).toPandas()  # fit_rows at most
     x = np.array(got["x"].tolist())
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = (x - mean) / scale
-    return Model(lists, mean, scale, np.array([_logistic(x, got[t].to_numpy(float), RIDGE / 100) for t in targets]))
+    return Model(lists[(0, 1)], mean, scale, np.array([_logistic(x, got[t].to_numpy(float), RIDGE) for t in targets]))
 
 
 def probabilities(text: Column, model: Model | None, n: int) -> Column:

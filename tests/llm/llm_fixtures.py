@@ -1,4 +1,3 @@
-import pandas as pd
 import pytest
 
 DOC = "doc_id long, text string, lang string, source string, fp long, uid string, component_id string"
@@ -13,7 +12,3 @@ def docs(spark):
         return spark.createDataFrame([(i, t, "en", "s", 7, "u", "c") for i, t in rows], DOC).repartition(partitions)
 
     return make
-
-
-def frame(df, *by) -> pd.DataFrame:
-    return df.toPandas().sort_values(list(by)).reset_index(drop=True)

@@ -4,6 +4,7 @@ import random
 import re
 
 from docweave.llm import decontaminate as D
+from llm_fixtures import docs  # noqa: F401
 
 
 def grams(text, n=5):

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from docweave.llm import repeats as R
+from llm_fixtures import docs  # noqa: F401
 
 
 def brute(texts, length=200):

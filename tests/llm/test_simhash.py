@@ -7,6 +7,7 @@ import pandas as pd
 import xxhash
 
 from docweave.llm import simhash as S
+from llm_fixtures import docs  # noqa: F401
 
 
 def brute_fingerprint(text, n=3):
