@@ -26,6 +26,7 @@ def main():
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in catalog.QUERIES]
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2)
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.docweave.scanPartitions", cpus)
     # warm-up: JVM, code generation caches, parquet footers
     catalog.QUERIES["url_hash"](spark, sf_dir).count()
     times = {}

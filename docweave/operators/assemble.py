@@ -58,11 +58,9 @@ def page_manifest(saved: DataFrame, base_dir: str = "out") -> DataFrame:
 
 def folder_documents(saved: DataFrame, base_dir: str = "out") -> DataFrame:
     """K1 + W6: the file each path finally holds: the last save wins."""
-    m = page_manifest(saved.select("url", "content", "ord", "size"), base_dir).join(
-        saved.select("ord", "content"), "ord"
-    )
-    last = m.groupBy("path").agg(F.max_by(F.struct("url", "content", "size", "ord"), "ord").alias("w"))
-    return last.select("path", "w.url", "w.content", "w.size", "w.ord")
+    # only paths and order numbers are aggregated; the text is read for the last saves alone
+    last = page_manifest(saved, base_dir).groupBy("path").agg(F.max("ord").alias("ord"))
+    return saved.join(last, "ord").select("path", "url", "content", "size", "ord")
 
 
 def path_collisions(saved: DataFrame, base_dir: str = "out") -> DataFrame:
@@ -147,11 +145,13 @@ def domain_blocks(saved: DataFrame) -> DataFrame:
 def domain_manifest(saved: DataFrame, out_dir: str = "out") -> DataFrame:
     """Whole-domain totals of the file-per-domain sink: pages, content
     characters, document characters, first and last URL."""
-    blocks = domain_blocks(saved)
-    return blocks.groupBy("domain").agg(
+    # lengths only: no page text is moved, and no page order is needed for a total
+    chars = (F.length("url") + F.length("content") + len("# \n\n")).cast("bigint")
+    pages = saved.select("domain", "url", "ord", "size", chars.alias("chars"))
+    return pages.groupBy("domain").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("size").cast("bigint").alias("size"),
-        F.sum(F.length("block")).cast("bigint").alias("doc_chars"),
+        (F.sum("chars") + (F.count(F.lit(1)) - 1) * len(DOMAIN_PAGE_SEPARATOR)).cast("bigint").alias("doc_chars"),
         F.min_by("url", "ord").alias("first_url"),
         F.max_by("url", "ord").alias("last_url"),
     ).withColumn("path", F.concat(F.lit(out_dir + "/"), F.col("domain"), F.lit(MARKDOWN_EXTENSION)))

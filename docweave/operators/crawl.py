@@ -15,6 +15,7 @@ folder so lineage stays short and a lost executor recomputes one level only.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,7 +188,9 @@ class VisitedStore:
     def get(self) -> DataFrame:
         try:
             return self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        except Exception:  # noqa: BLE001  (no table yet)
+        except AnalysisException as e:  # no table yet
+            if "PATH_NOT_FOUND" not in str(e.getCondition()):
+                raise
             return self.spark.createDataFrame([], self.SCHEMA)
 
     def mark(self, urls: DataFrame, col: str = "url") -> int:

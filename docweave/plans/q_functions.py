@@ -36,27 +36,27 @@ def _neighbour_pairs(spark, sf):
     p = pages(spark, sf).select("page_id", "url")
     nxt = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
     parent = F.concat(F.lit("http://"), F.regexp_replace(U.extract_domain("url"), r"^[^.]+\.", ""))
-    return p.join(nxt, "page_id").withColumn("parent_url", parent)
+    return p.join(nxt, "page_id", "left").withColumn("parent_url", parent)
 
 
 _PAIRS_SQL = """
     WITH pairs AS (
       SELECT a.page_id, a.url, b.url AS next_url,
              'http://' || regexp_replace({dom}, '^[^.]+\\.', '') AS parent_url
-      FROM pages a JOIN pages b ON b.page_id = a.page_id + 1)
+      FROM pages a LEFT JOIN pages b ON b.page_id = a.page_id + 1)
 """
 
 
 @register(
     "url_same_domain",
     _PAIRS_SQL.format(dom=S.domain("a.url"))
-    + f"SELECT page_id, {S.same_domain('url', 'next_url')} AS same_next, {S.same_domain('url', 'parent_url')} AS same_parent FROM pairs",
+    + f"SELECT page_id, CASE WHEN next_url IS NOT NULL THEN {S.same_domain('url', 'next_url')} END AS same_next, {S.same_domain('url', 'parent_url')} AS same_parent FROM pairs",
 )
 def url_same_domain(spark, sf):
     d = _neighbour_pairs(spark, sf)
     return d.select(
         "page_id",
-        U.is_same_domain("url", "next_url").alias("same_next"),
+        F.when(F.col("next_url").isNotNull(), U.is_same_domain("url", "next_url")).alias("same_next"),
         U.is_same_domain("url", "parent_url").alias("same_parent"),
     )
 
@@ -64,14 +64,14 @@ def url_same_domain(spark, sf):
 @register(
     "url_is_subdomain",
     _PAIRS_SQL.format(dom=S.domain("a.url"))
-    + f"SELECT page_id, {S.is_subdomain('url', 'next_url')} AS sub_next, {S.is_subdomain('url', 'parent_url')} AS sub_parent, "
+    + f"SELECT page_id, CASE WHEN next_url IS NOT NULL THEN {S.is_subdomain('url', 'next_url')} END AS sub_next, {S.is_subdomain('url', 'parent_url')} AS sub_parent, "
     f"{S.is_subdomain('parent_url', 'url')} AS parent_sub FROM pairs",
 )
 def url_is_subdomain(spark, sf):
     d = _neighbour_pairs(spark, sf)
     return d.select(
         "page_id",
-        U.is_subdomain("url", "next_url").alias("sub_next"),
+        F.when(F.col("next_url").isNotNull(), U.is_subdomain("url", "next_url")).alias("sub_next"),
         U.is_subdomain("url", "parent_url").alias("sub_parent"),
         U.is_subdomain("parent_url", "url").alias("parent_sub"),
     )

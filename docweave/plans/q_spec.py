@@ -173,8 +173,7 @@ def sitemap_counts(spark, sf):
 @register(
     "sitemap_items",
     f"""WITH {_ITEMS_SQL}, {_LOCS_SQL},
-    sm AS (SELECT host, part, CASE WHEN part = 0 THEN 'https://' || host || '/sitemap.xml'
-                                   ELSE 'https://' || host || '/sitemap-' || CAST(part AS VARCHAR) || '.xml' END AS sitemap_url FROM derived_sitemaps),
+    sm AS (SELECT host, part, 'https://' || host || '/sitemap.xml' AS sitemap_url FROM derived_sitemaps),
     src AS (SELECT * FROM items WHERE spec_id IN (SELECT min(page_id) FROM pages GROUP BY regexp_extract(url, '^https?://([^/?#]+)', 1))),
     expanded AS (
       SELECT i.spec_id, i.pos, CAST(l.part * 1000000 + l.pos AS BIGINT) AS sub, {S.normalize_url('l.loc')} AS url, false AS is_sitemap, false AS should_scrap,
@@ -196,9 +195,8 @@ def sitemap_items(spark, sf):
     first_specs = p.groupBy("host").agg(F.min("page_id").alias("spec_id")).select("spec_id")
     items = job_spec_items_df(spark, sf).join(first_specs, "spec_id", "left_semi")
     sm = X.derived_sitemaps(spark, sf)
-    sm_url = F.when(F.col("part") == 0, F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml"))).otherwise(
-        F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap-"), F.col("part").cast("string"), F.lit(".xml"))
-    )
+    # a host's item stands for all parts of its sitemap: no part is left out
+    sm_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml"))
     locs = SP.sitemap_locs(sm.withColumn("sitemap_url", sm_url), keys=["sitemap_url", "part"])
     expand = items.where(F.col("is_sitemap") & ~F.col("should_scrap"))
     keep = items.where(~(F.col("is_sitemap") & ~F.col("should_scrap")))

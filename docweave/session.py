@@ -39,7 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is created and set.
+    a local session without it gets a scratch folder; elsewhere it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="docweave-ckpt-", dir=os.environ.get("DOCWEAVE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

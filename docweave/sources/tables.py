@@ -18,17 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (HTML regex chains) every core.
+    """Deal a scan over as many partitions as the session asks for.
 
-    A scan yields one task per file split; a small file with few row groups
-    would leave most cores idle, so such a scan is spread round-robin over
-    the default parallelism.  Large inputs already have more splits than
-    cores and are returned unchanged (no shuffle is added at scale).
+    Only where the caller set ``spark.docweave.scanPartitions`` (a small table
+    of one row group on one machine); otherwise the scan keeps its splits.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    asked = df.sparkSession.conf.get("spark.docweave.scanPartitions", None)
+    return df.repartition(int(asked)) if asked else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,17 +29,16 @@ PAGES_SCHEMA = "page_id bigint, url string, html string"
 def stream_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint dir."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root.replace("file:", ""), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{root.rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_pages_stream(spark: SparkSession, folder: str, file_glob: str = "pages.parquet", max_files: int = 1) -> DataFrame:
-    """Streaming source of captured pages (parquet files in ``folder``)."""
-    return (
-        spark.readStream.schema(PAGES_SCHEMA)
-        .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(folder)
-    )
+def read_pages_stream(spark: SparkSession, folder: str, table: str = "pages", max_files: int | None = None) -> DataFrame:
+    """Streaming source of captured pages: the table ``<folder>/<table>.parquet``,
+    one file or a folder of part files; ``max_files`` bounds a micro-batch."""
+    reader = spark.readStream.schema(PAGES_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{folder.rstrip('/')}/{table}.parquet*")
 
 
 def page_documents(stream: DataFrame) -> DataFrame:
@@ -66,19 +65,22 @@ def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, output_mode: s
 
 def run_foreach_batch(
     df: DataFrame, spark: SparkSession, name: str, sink: Callable[[DataFrame, str], None], output_mode: str = "append"
-) -> str:
+) -> tuple[str, int | None]:
     """Drain a stream through a batch sink; the sink receives each micro-
     batch and an output folder keyed by batch id (overwrite per batch id is
-    idempotent when a batch is replayed)."""
+    idempotent when a batch is replayed).  Returns the folder and the last
+    batch id."""
     base = stream_folder(spark, name)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
+    last: list[int] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
         sink(batch, os.path.join(out, f"batch={batch_id}"))
+        last[:] = [batch_id]
 
     q = df.writeStream.foreachBatch(each).option("checkpointLocation", ckpt).outputMode(output_mode)
     q.trigger(availableNow=True).start().awaitTermination()
-    return out
+    return out, last[0] if last else None
 
 
 def overwrite_parquet(batch: DataFrame, path: str) -> None:
@@ -90,9 +92,10 @@ def stream_stats(stream: DataFrame, spark: SparkSession) -> DataFrame:
     rewrites the full (small) aggregate through ``foreachBatch``; the last
     batch holds the final counts."""
     agg = page_documents(stream).groupBy("domain", "status").agg(F.count(F.lit(1)).alias("pages"))
-    out = run_foreach_batch(agg, spark, "stats", overwrite_parquet, output_mode="complete")
-    batches = sorted(int(d.split("=")[1]) for d in os.listdir(out) if d.startswith("batch="))
-    return spark.read.parquet(os.path.join(out, f"batch={batches[-1]}"))
+    out, last = run_foreach_batch(agg, spark, "stats", overwrite_parquet, output_mode="complete")
+    if last is None:
+        return spark.createDataFrame([], agg.schema)
+    return spark.read.schema(agg.schema).parquet(os.path.join(out, f"batch={last}"))
 
 
 def stream_dedup(stream: DataFrame) -> DataFrame:
