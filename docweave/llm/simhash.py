@@ -105,6 +105,9 @@ class GrayIndex:
         self.levels = [(fps, ones)]
         self.children: list[tuple[np.ndarray, np.ndarray]] = []
         bucket = buckets
+        starts = run_starts(buckets)
+        #: buckets with two entries or more; a lone entry has nothing to meet
+        self.shared = np.flatnonzero(np.diff(np.append(starts, len(buckets))) > 1)
         while True:
             starts = run_starts(bucket)
             sizes = np.diff(np.append(starts, len(bucket)))
@@ -118,25 +121,23 @@ class GrayIndex:
             self.levels.append((pattern[first] & ~odd, ~odd))
             self.children.append((first, np.append(first[1:], len(bucket))))
             bucket = bucket[first]
-        self.roots = len(bucket)
 
     def matches(self, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Index pairs ``i < j`` of one bucket that differ in ``max_bits`` bits or fewer, in blocks."""
         top = len(self.levels) - 1
         if top == 0:
             return
-        roots = np.arange(self.roots)
-        work = [(top, roots, roots)]
+        work = [(top, self.shared, self.shared)]
         while work:
             level, a, b = work.pop()
-            if len(a) > FRONTIER // (FANOUT * FANOUT) and level:
-                half = len(a) // 2
-                work += [(level, a[:half], b[:half]), (level, a[half:], b[half:])]
-                continue
             if level:
                 first, last = self.children[level - 1]
                 na, nb = last[a] - first[a], last[b] - first[b]
                 total = na * nb
+                if len(a) > 1 and total.sum() > FRONTIER:
+                    half = len(a) // 2
+                    work += [(level, a[:half], b[:half]), (level, a[half:], b[half:])]
+                    continue
                 at = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
                 wide = np.repeat(nb, total)
                 x = np.repeat(first[a], total) + at // wide
