@@ -23,6 +23,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once (bound by a lambda)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip_fragment(url) -> Column:
     """Everything before the first ``#``."""
     return F.substring_index(_col(url), "#", 1)
@@ -84,18 +89,21 @@ def normalize_url(url, strip_utm: bool = True) -> Column:
     )
     utm = F.array(*[F.lit(n) for n in UTM_PARAMS])
     kv = F.filter(kv, lambda x: ~F.array_contains(utm, x["k"]))
-    keys = F.array_distinct(F.transform(kv, lambda x: x["k"]))
-    encoded = F.flatten(
-        F.transform(
-            keys,
-            lambda k: F.transform(
-                F.filter(kv, lambda x: x["k"] == k),
-                lambda x: F.concat(form_encode(x["k"]), F.lit("="), form_encode(x["v"])),
-            ),
+
+    def grouped(kv: Column) -> Column:
+        keys = F.array_distinct(F.transform(kv, lambda x: x["k"]))
+        return F.flatten(
+            F.transform(
+                keys,
+                lambda k: F.transform(
+                    F.filter(kv, lambda x: x["k"] == k),
+                    lambda x: F.concat(form_encode(x["k"]), F.lit("="), form_encode(x["v"])),
+                ),
+            )
         )
-    )
-    new_query = F.array_join(encoded, "&")
-    return F.when(new_query == "", base).otherwise(F.concat(base, F.lit("?"), new_query))
+
+    new_query = F.array_join(_let(kv, grouped), "&")
+    return _let(new_query, lambda q: F.when(q == "", base).otherwise(F.concat(base, F.lit("?"), q)))
 
 
 def cleanup_url(url, strip_utm: bool = True) -> Column:
@@ -115,15 +123,16 @@ def cleanup_url(url, strip_utm: bool = True) -> Column:
             F.split(query, "&"),
             lambda p: (F.instr(p, "=") > 0) & ~F.substring_index(p, "=", 1).startswith(UTM_PREFIX),
         )
-        keys = F.array_distinct(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)))
-        rebuilt = F.array_join(
-            F.transform(
+
+        def last_of_each(pairs: Column) -> Column:
+            keys = F.array_distinct(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)))
+            return F.transform(
                 keys,
                 lambda k: F.element_at(F.filter(pairs, lambda p: F.substring_index(p, "=", 1) == k), -1),
-            ),
-            "&",
-        )
-        u = F.when(rebuilt == "", base).otherwise(F.concat(base, F.lit("?"), rebuilt))
+            )
+
+        rebuilt = F.array_join(_let(pairs, last_of_each), "&")
+        u = _let(rebuilt, lambda q: F.when(q == "", base).otherwise(F.concat(base, F.lit("?"), q)))
     return F.when(src.isNull() | (src == ""), src).otherwise(u)
 
 

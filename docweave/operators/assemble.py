@@ -7,18 +7,19 @@ keyed by ``path`` or ``domain``, both of which can be hot, so:
 * last-write-wins per path uses ``max_by`` (partial aggregation, one row per
   key per map task);
 * positions inside a domain use the block-wise ordinal (no whole-domain sort);
-* count-based flush ids follow from the position; size-aware flushing runs a
-  sequential scan per domain over ``(ord, length)`` only (no content);
+* count-based flush ids follow from the position; size-aware flushing maps
+  page blocks in parallel over ``(page_no, size)`` only (no content);
 * the per-domain document is produced in *row form* (one block per page in
-  order), written by range-partitioned ordered parts, never as one giant row.
+  order), written in parts of a fixed number of pages, never as one giant row.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +30,18 @@ from docweave.constants import (
     MARKDOWN_EXTENSION,
     PERSISTENCE_STRATEGIES,
     UNKNOWN_DOMAIN,
+    URL_HASH_CHARS,
 )
 from docweave.functions.content import is_nonblank
 from docweave.functions.paths import document_path
 from docweave.functions.urls import extract_domain
 from docweave.operators.windows import ordinal_within
 
+#: Pages of a domain that one task scans for size-aware flushes.
+FLUSH_BLOCK_PAGES = 65536
+#: Pages in one part of a written domain document.
+PART_PAGES = 10000
+
 
 def saves(df: DataFrame, url: str = "url", content: str = "content", ord_col: str = "ord") -> DataFrame:
     """Rows a sink accepts: non-blank content only; adds ``domain`` and ``size``
@@ -51,16 +58,26 @@ def saves(df: DataFrame, url: str = "url", content: str = "content", ord_col: st
 
 # ------------------------------------------------------------ folder per domain
 
-def page_manifest(saved: DataFrame, base_dir: str = "out") -> DataFrame:
-    """K3: one ``(url, path, size)`` row per save, overwritten ones included."""
-    return saved.select("url", document_path(base_dir, F.col("url")).alias("path"), "size", "ord")
-
-
-def folder_documents(saved: DataFrame, base_dir: str = "out") -> DataFrame:
-    """K1 + W6: the file each path finally holds: the last save wins."""
+def page_manifest(saved: DataFrame, base_dir: str = "out", on_collision: str = "last") -> DataFrame:
+    """K3: one ``(url, path, size)`` row per save, overwritten ones included.
+    ``on_collision="hash"`` (D4) puts 8 hex characters of the URL's md5 before
+    the extension, so different URLs never share a file."""
+    path = document_path(base_dir, F.col("url"))
+    if on_collision == "hash":
+        stem = path.substr(F.lit(1), F.length(path) - len(MARKDOWN_EXTENSION))
+        path = F.concat(stem, F.lit("_"), F.md5("url").substr(1, URL_HASH_CHARS), F.lit(MARKDOWN_EXTENSION))
+    elif on_collision != "last":
+        raise ValueError(f"Unsupported collision rule: {on_collision}")
+    return saved.select("url", path.alias("path"), "size", "ord")
+
+
+def folder_documents(saved: DataFrame, base_dir: str = "out", on_collision: str = "last") -> DataFrame:
+    """K1 + W6: the file each path finally holds: the last save wins.
+    ``rel`` is the path below ``base_dir``."""
     # only paths and order numbers are aggregated; the text is read for the last saves alone
-    last = page_manifest(saved, base_dir).groupBy("path").agg(F.max("ord").alias("ord"))
-    return saved.join(last, "ord").select("path", "url", "content", "size", "ord")
+    last = page_manifest(saved, base_dir, on_collision).groupBy("path").agg(F.max("ord").alias("ord"))
+    rel = F.col("path").substr(F.lit(len(base_dir) + 2), F.length("path"))
+    return saved.join(last, "ord").select("path", rel.alias("rel"), "url", "content", "size", "ord")
 
 
 def path_collisions(saved: DataFrame, base_dir: str = "out") -> DataFrame:
@@ -95,31 +112,84 @@ def flush_batches(
     points); both counters then reset.
 
     Count-only (``flush_size_mb=None``): ``(page_no - 1) div buffer_size``.
-    With a size limit the reset makes it a sequential scan: each domain is
-    scanned in order over ``(ord, size)`` only (16 bytes a page).
+    With a size limit see :func:`sized_flush_ids`.
     """
     ordered = domain_page_order(saved)
     if flush_size_mb is None:
         return ordered.withColumn("flush_id", F.floor((F.col("page_no") - 1) / buffer_size).cast("bigint"))
     limit = int(flush_size_mb * 1024 * 1024)
+    ids = sized_flush_ids(ordered.select("domain", "page_no", "size"), buffer_size, limit)
+    return ordered.join(ids, ["domain", "page_no"])
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_no")
-        ids, fid, count, size = [], 0, 0, 0
-        for s in pdf["size"].tolist():
-            ids.append(fid)
-            count += 1
-            size += int(s)
-            if count >= buffer_size or size >= limit:
-                fid, count, size = fid + 1, 0, 0
-        return pd.DataFrame({"ord": pdf["ord"].to_numpy(), "flush_id": ids})
-
-    ids = (
-        ordered.select("domain", "ord", "page_no", "size")
-        .groupBy("domain")
-        .applyInPandas(scan, schema="ord bigint, flush_id bigint")
+
+def _next_starts(sizes: np.ndarray, buffer_size: int, limit: int) -> np.ndarray:
+    """For a flush that starts at page i: the page after its last one; beyond
+    ``len(sizes)`` when it is still open there."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    start = np.arange(len(sizes))
+    full = np.searchsorted(total, total[:-1] + limit, "left")
+    return np.minimum(start + buffer_size, np.maximum(full, start + 1))
+
+
+def sized_flush_ids(pages: DataFrame, buffer_size: int, limit: int, block_pages: int = FLUSH_BLOCK_PAGES) -> DataFrame:
+    """``(domain, page_no, flush_id)`` with both limits, in three steps that
+    never bring the pages of a domain together.
+
+    A flush open at the start of a page block began at most ``buffer_size - 1``
+    pages before it.  Every block, with that many pages of the block before,
+    maps each possible start to the start it leaves behind and the number of
+    flushes it ends; the small maps are chained per domain; each block then
+    numbers its pages from the start that holds.
+    """
+    width = max(block_pages, buffer_size)
+    own = F.floor((F.col("page_no") - 1) / width).cast("bigint")
+    tail = F.col("page_no") > (own + 1) * width - (buffer_size - 1)
+    spread = pages.select(
+        "domain", "page_no", "size", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("blk")
     )
-    return ordered.join(ids, "ord")
+
+    def block_map(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("page_no")
+        domain, blk, page = pdf["domain"].iloc[0], int(pdf["blk"].iloc[0]), pdf["page_no"].to_numpy()
+        n, first = len(page), int(page[0])
+        halo = int((page <= blk * width).sum())
+        nxt = _next_starts(pdf["size"].to_numpy(), buffer_size, limit).tolist()
+        leave, ended = list(range(n + 1)), [0] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            if nxt[i] <= n:
+                leave[i], ended[i] = leave[nxt[i]], ended[nxt[i]] + 1
+        k = halo + 1 if halo < n else 0  # none where the domain ends before this block
+        return pd.DataFrame({"domain": pd.Series([domain] * k, dtype=object), "blk": blk, "enter": np.arange(k) + first,
+                             "leave": np.array(leave[:k]) + first, "flushes": ended[:k]})
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        step = {(b, e): (l, f) for b, e, l, f in zip(pdf["blk"], pdf["enter"], pdf["leave"], pdf["flushes"])}
+        rows, start, fid = [], 1, 0
+        for b in sorted(set(pdf["blk"])):
+            rows.append((b, start, fid))
+            start, ended = step[b, start]
+            fid += ended
+        out = pd.DataFrame(rows, columns=["blk", "enter", "first_id"])
+        out.insert(0, "domain", pd.Series([pdf["domain"].iloc[0]] * len(out), dtype=object))
+        return out
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("page_no")
+        blk, page = int(pdf["blk"].iloc[0]), pdf["page_no"].to_numpy()
+        nxt = _next_starts(pdf["size"].to_numpy(), buffer_size, limit)
+        ids = np.zeros(len(page), "int64")
+        i, fid = int(pdf["enter"].iloc[0] - page[0]), int(pdf["first_id"].iloc[0])
+        while i < len(page):
+            ids[i : nxt[i]] = fid
+            i, fid = int(nxt[i]), fid + 1
+        keep = page > blk * width
+        return pd.DataFrame({"domain": pd.Series([pdf["domain"].iloc[0]] * int(keep.sum()), dtype=object), "page_no": page[keep], "flush_id": ids[keep]})
+
+    maps = spread.groupBy("domain", "blk").applyInPandas(
+        block_map, "domain string, blk bigint, enter bigint, leave bigint, flushes bigint")
+    enters = maps.groupBy("domain").applyInPandas(chain, "domain string, blk bigint, enter bigint, first_id bigint")
+    return spread.join(enters, ["domain", "blk"]).groupBy("domain", "blk").applyInPandas(
+        number, "domain string, page_no bigint, flush_id bigint")
 
 
 def flush_manifest(batched: DataFrame, out_dir: str = "out") -> DataFrame:
@@ -159,63 +229,105 @@ def domain_manifest(saved: DataFrame, out_dir: str = "out") -> DataFrame:
 
 # --------------------------------------------------------------------- writers
 
-def _write_files(rows, out_dir: str):
-    """Write ``(rel_path, text)`` pairs atomically: temp file + rename, so a
-    retried task simply rewrites the same final files."""
-    for rel, text in rows:
-        final = os.path.join(out_dir, rel)
-        os.makedirs(os.path.dirname(final), exist_ok=True)
-        tmp = f"{final}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "w", encoding="utf-8") as fh:
-            fh.write(text)
-        os.replace(tmp, final)
+def _store(out_dir: str) -> tuple[pafs.FileSystem, str]:
+    """File system and base path of a URI (``hdfs://``, ``s3://``, ``file://``,
+    ...) or of a plain folder, which has to be mounted on every machine."""
+    if "://" in out_dir:
+        return pafs.FileSystem.from_uri(out_dir)
+    return pafs.LocalFileSystem(), out_dir
+
+
+class _NewFile:
+    """A file that appears under its name once it is complete, so a task that
+    runs again writes the same file again."""
+
+    def __init__(self, out_dir: str, rel: str):
+        self.fs, base = _store(out_dir)
+        self.final = f"{base.rstrip('/')}/{rel}"
+        self.fs.create_dir(self.final.rsplit("/", 1)[0], recursive=True)
+        self.tmp = f"{self.final}.{uuid.uuid4().hex}.tmp"
+        self.out = self.fs.open_output_stream(self.tmp)
+
+    def write(self, data: bytes) -> None:
+        self.out.write(data)
+
+    def commit(self) -> None:
+        self.out.close()
+        self.fs.move(self.tmp, self.final)
 
 
 def write_folder_documents(docs: DataFrame, out_dir: str) -> DataFrame:
-    """K1 sink: one file per final path (``folder_documents`` output; paths
-    relative to ``out_dir``).  Returns the manifest ``(url, path, size)``."""
+    """K1 sink: one file per final path (``folder_documents`` output) at
+    ``rel`` below ``out_dir``.  Returns the manifest ``(url, path, size)``."""
 
     def writer(batches):
         for pdf in batches:
-            _write_files(zip(pdf["rel"], pdf["content"]), out_dir)
+            for rel, text in zip(pdf["rel"], pdf["content"]):
+                f = _NewFile(out_dir, rel)
+                f.write(text.encode("utf-8"))
+                f.commit()
             yield pdf[["url", "path", "size"]]
 
-    rel = F.regexp_replace(F.col("path"), r"^[^/]*/", "")
-    return docs.select("url", "path", "size", "content", rel.alias("rel")).mapInPandas(
+    return docs.select("url", "path", "size", "content", "rel").mapInPandas(
         writer, schema="url string, path string, size bigint"
     )
 
 
-def write_domain_documents(blocks: DataFrame, out_dir: str, parts: int | None = None) -> DataFrame:
-    """K2 sink: range-partition blocks by ``(domain, page_no)`` and let each
-    task write its ordered run of blocks as ``<domain>.md.d/<first page>.part``.
-    A domain spread over several tasks yields several ordered parts whose
-    concatenation is the document; no task holds more than its range.
-    Returns ``(domain, part, pages, chars)``."""
-    n = parts or blocks.sparkSession.sparkContext.defaultParallelism
-    ranged = blocks.select("domain", "page_no", "block").repartitionByRange(n, "domain", "page_no").sortWithinPartitions(
-        "domain", "page_no"
-    )
+def write_domain_documents(blocks: DataFrame, out_dir: str, part_pages: int = PART_PAGES) -> DataFrame:
+    """K2 sink: ``<domain>.md`` for each domain of ``domain_blocks``.
 
-    def writer(batches):
-        acc: dict[tuple[str, int], list[str]] = {}
-        order: list[tuple[str, int]] = []
-        current: dict[str, int] = {}
+    Parts of ``part_pages`` pages are written by different tasks below a folder
+    of this run, a batch at a time; their list is committed as a table; then
+    each document is joined from its listed parts by copying, and replaces
+    the one of an earlier run.  Part bounds depend on page numbers alone.
+    Returns the part list ``(domain, part, pages, chars)``.
+    """
+    spark = blocks.sparkSession
+    run = f"_runs/{uuid.uuid4().hex}"
+    part = F.floor((F.col("page_no") - 1) / part_pages).cast("bigint")
+    # a hot domain's parts go to different tasks
+    ranged = blocks.select("domain", part.alias("part"), "page_no", "block")
+    ranged = ranged.repartition("domain", "part").sortWithinPartitions("domain", "part", "page_no")
+
+    def part_name(domain: str, number: int) -> str:
+        return f"{run}/parts/{domain}{MARKDOWN_EXTENSION}.{number:09d}"
+
+    def write_parts(batches):
+        now, f, pages, chars = None, None, 0, 0
+        for pdf in batches:
+            done = []
+            for d, k, b in zip(pdf["domain"], pdf["part"], pdf["block"]):
+                if (d, k) != now:
+                    if f:
+                        f.commit()
+                        done.append((*now, pages, chars))
+                    now, f, pages, chars = (d, k), _NewFile(out_dir, part_name(d, k)), 0, 0
+                f.write(b.encode("utf-8"))
+                pages, chars = pages + 1, chars + len(b)
+            yield pd.DataFrame(done, columns=["domain", "part", "pages", "chars"])
+        if f:
+            f.commit()
+            yield pd.DataFrame([(*now, pages, chars)], columns=["domain", "part", "pages", "chars"])
+
+    def join_parts(batches):
         for pdf in batches:
-            for d, p, b in zip(pdf["domain"], pdf["page_no"], pdf["block"]):
-                if d not in current:
-                    current[d] = int(p)
-                    order.append((d, int(p)))
-                    acc[(d, int(p))] = []
-                acc[(d, current[d])].append(b)
-        rows = []
-        for d, first in order:
-            text = "".join(acc[(d, first)])
-            _write_files([(os.path.join(f"{d}{MARKDOWN_EXTENSION}.d", f"{first:012d}.part"), text)], out_dir)
-            rows.append((d, first, len(acc[(d, first)]), len(text)))
-        yield pd.DataFrame(rows, columns=["domain", "part", "pages", "chars"])
-
-    return ranged.mapInPandas(writer, schema="domain string, part bigint, pages bigint, chars bigint")
+            for d, n in zip(pdf["domain"], pdf["parts"]):
+                f = _NewFile(out_dir, f"{d}{MARKDOWN_EXTENSION}")
+                fs, base = _store(out_dir)
+                for k in range(n):
+                    with fs.open_input_stream(f"{base.rstrip('/')}/{part_name(d, k)}") as part_file:
+                        while data := part_file.read(1 << 20):
+                            f.write(data)
+                f.commit()
+            yield pdf[["domain"]]
+
+    listed = f"{out_dir.rstrip('/')}/{run}/parts.parquet"
+    schema = "domain string, part bigint, pages bigint, chars bigint"
+    ranged.mapInPandas(write_parts, schema).write.parquet(listed)
+    parts = spark.read.schema(schema).parquet(listed)
+    documents = parts.groupBy("domain").agg(F.count(F.lit(1)).alias("parts"))
+    documents.mapInPandas(join_parts, "domain string").write.parquet(f"{out_dir.rstrip('/')}/{run}/documents.parquet")
+    return parts
 
 
 def check_strategy(name: str) -> str:
@@ -223,3 +335,10 @@ def check_strategy(name: str) -> str:
     if name not in PERSISTENCE_STRATEGIES:
         raise ValueError(f"Unsupported persistence strategy: {name}")
     return name
+
+
+def write_documents(saved: DataFrame, out_dir: str, strategy: str, on_collision: str = "last") -> DataFrame:
+    """K5: saves through the sink named by ``strategy``; returns its manifest."""
+    if check_strategy(strategy) == "folder_per_domain":
+        return write_folder_documents(folder_documents(saved, out_dir, on_collision), out_dir)
+    return write_domain_documents(domain_blocks(saved), out_dir)

@@ -95,7 +95,7 @@ def page_manifest(spark, sf):
     ("url_variants", "derived_fetch"),
 )
 def folder_documents(spark, sf):
-    return A.folder_documents(variant_saves(spark, sf))
+    return A.folder_documents(variant_saves(spark, sf)).drop("rel")
 
 
 @register(
@@ -148,15 +148,30 @@ def flush_manifest(spark, sf):
     return A.flush_manifest(A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER))
 
 
+SIZED_FLUSH_MB = 0.005
+
+
 @register(
     "flush_manifest_sized",
-    None,
+    f"""WITH RECURSIVE {_ORDER_SQL},
+    walk AS (
+      SELECT domain, url, ord, page_no, size, 1 AS n, size AS total, CAST(0 AS BIGINT) AS flush_id FROM ordered WHERE page_no = 1
+      UNION ALL
+      SELECT o.domain, o.url, o.ord, o.page_no, o.size,
+             CASE WHEN w.n >= {FLUSH_BUFFER} OR w.total >= {int(SIZED_FLUSH_MB * 1024 * 1024)} THEN 1 ELSE w.n + 1 END,
+             CASE WHEN w.n >= {FLUSH_BUFFER} OR w.total >= {int(SIZED_FLUSH_MB * 1024 * 1024)} THEN o.size ELSE w.total + o.size END,
+             CASE WHEN w.n >= {FLUSH_BUFFER} OR w.total >= {int(SIZED_FLUSH_MB * 1024 * 1024)} THEN w.flush_id + 1 ELSE w.flush_id END
+      FROM walk w JOIN ordered o ON o.domain = w.domain AND o.page_no = w.page_no + 1)
+    SELECT domain, flush_id, count(*) AS pages, CAST(sum(size) AS BIGINT) AS size,
+           string_agg(url, chr(10) ORDER BY ord) AS urls, 'out/' || domain || '.md' AS path
+    FROM walk GROUP BY domain, flush_id""",
+    ("derived_fetch",),
 )
 def flush_manifest_sized(spark, sf):
-    """A5 with the size limit as well (sequential reset per domain): 3 pages
-    or 0.005 MB (5,242 characters), whichever comes first.  Checked against a
-    direct Python simulation in the tests."""
-    return A.flush_manifest(A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER, flush_size_mb=0.005))
+    """A5 with the size limit as well: 3 pages or 0.005 MB (5,242 characters),
+    whichever comes first."""
+    b = A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER, flush_size_mb=SIZED_FLUSH_MB)
+    return A.flush_manifest(b)
 
 
 _BLOCK_SQL = """CASE WHEN page_no > 1 THEN chr(10) || chr(10) || '---' || chr(10) || chr(10) ELSE '' END
