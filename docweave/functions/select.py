@@ -11,6 +11,7 @@ path in :func:`docweave.functions.content.select_tag`.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -27,10 +28,12 @@ CLOSES_P = {
 SELECTOR_RE = re.compile(r"^([A-Za-z][\w-]*)?((?:[.#][\w-]+)*)$")
 
 
+@lru_cache(maxsize=1024)
 def parse_selector(sel: str):
+    """``(tag, classes, ids)``, or None for a selector that is not supported."""
     m = SELECTOR_RE.match(sel.strip())
-    if not m:
-        raise ValueError(f"unsupported selector: {sel!r}")
+    if not m or not m.group(0):
+        return None
     tag = (m.group(1) or "").lower() or None
     classes = re.findall(r"\.([\w-]+)", m.group(2))
     ids = re.findall(r"#([\w-]+)", m.group(2))
@@ -109,12 +112,14 @@ def _matches(el, sel) -> bool:
 
 def select_html(html: str | None, selectors: list[str] | None) -> str | None:
     """Outer HTML of the selected elements joined by newlines; the whole
-    input when no selector is given."""
+    input when no selector is given; null if one is not supported."""
     if html is None:
         return None
     if not selectors:
         return html
     parsed = [parse_selector(s) for s in selectors]
+    if None in parsed:
+        return None
     els = _Elements(html).elements()
     kept: list[tuple[int, int]] = []
     for sel in parsed:

@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.functions.content import html_to_markdown, is_nonblank
 from docweave.functions.urls import normalize_url
 from docweave.operators.filters import filter_chain
 from docweave.session import ensure_checkpoint_dir
@@ -42,12 +43,14 @@ def crawl_levels(
     fetch: DataFrame,
     checkpoint: bool = True,
 ) -> DataFrame:
-    """Breadth-first levels: ``(item_id, url, depth)`` for every URL reachable
-    within ``max_depth`` through successful pages, at its smallest depth.
+    """Breadth-first levels: ``(item_id, url, depth, success)`` for every URL
+    reachable within ``max_depth`` through successful pages, at its smallest depth.
 
     ``items`` carries :data:`SETTINGS_COLS`; ``edges(src, dst)`` and
     ``fetch(url, success)`` are keyed by canonical URL.  Items whose budget is
     already full stop expanding (their deeper levels would be cut anyway).
+    Only the new level is written at each depth; it carries its fetch status, so
+    successes are counted per level and never looked up again.
     """
     if checkpoint:
         ensure_checkpoint_dir(items.sparkSession)
@@ -55,18 +58,27 @@ def crawl_levels(
     # read at every level: materialise once in the shared checkpoint folder
     edges = _persist_level(edges.select("src", "dst"), checkpoint)
     ok_pages = _persist_level(fetch.where("success").select("url"), checkpoint)
-    frontier = settings.where(F.col("domain").isNotNull()).select(
-        "item_id", normalize_url(F.col("seed_url")).alias("url"), F.lit(0).alias("depth")
-    ).distinct()
-    frontier = _persist_level(frontier, checkpoint)
+
+    def level(urls: DataFrame, depth: int) -> DataFrame:
+        fetched = ok_pages.select("url", F.lit(True).alias("fetched"))
+        rows = urls.join(fetched, "url", "left").select(
+            "item_id", "url", F.lit(depth).alias("depth"), F.coalesce("fetched", F.lit(False)).alias("success"))
+        return _persist_level(rows, checkpoint)
+
+    def level_successes(rows: DataFrame) -> DataFrame:
+        return rows.where("success").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+
+    seeds = settings.where(F.col("domain").isNotNull()).select("item_id", normalize_url(F.col("seed_url")).alias("url"))
+    frontier = level(seeds.distinct(), 0)
     levels = [frontier]
+    seen = frontier.select("item_id", "url")
+    successes = level_successes(frontier)
     max_depth = settings.agg(F.max("max_depth")).first()[0] or 0
-    done_so_far = frontier
     for depth in range(1, max_depth + 1):
         # items whose successes so far already fill the budget stop here
-        succ = done_so_far.join(ok_pages, "url", "left_semi").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-        full = succ.join(settings.select("item_id", "max_pages"), "item_id").where(F.col("n") >= F.col("max_pages"))
-        expand = frontier.join(ok_pages, "url", "left_semi").join(full.select("item_id"), "item_id", "left_anti")
+        spent = successes.groupBy("item_id").agg(F.sum("n").alias("n"))
+        full = spent.join(settings.select("item_id", "max_pages"), "item_id").where(F.col("n") >= F.col("max_pages"))
+        expand = frontier.where("success").join(full.select("item_id"), "item_id", "left_anti")
         cand = (
             expand.join(edges, expand["url"] == edges["src"])
             .select("item_id", F.col("dst").alias("url"))
@@ -75,14 +87,12 @@ def crawl_levels(
             .select("item_id", "url")
             .distinct()
         )
-        new = cand.join(done_so_far.select("item_id", "url"), ["item_id", "url"], "left_anti").withColumn(
-            "depth", F.lit(depth)
-        )
-        new = _persist_level(new, checkpoint)
+        new = level(cand.join(seen, ["item_id", "url"], "left_anti"), depth)
         if new.isEmpty():
             break
         levels.append(new)
-        done_so_far = _persist_level(done_so_far.unionByName(new), checkpoint)
+        seen = seen.unionByName(new.select("item_id", "url"))
+        successes = successes.unionByName(level_successes(new))
         frontier = new
     out = levels[0]
     for lvl in levels[1:]:
@@ -144,10 +154,7 @@ def deep_crawl(
     if order not in ORDERS:
         raise ValueError(f"unknown crawl order {order!r}; use one of {ORDERS}")
     visited = crawl_levels(items, edges, fetch, checkpoint=checkpoint)
-    with_status = visited.join(fetch.select("url", "success"), "url", "left").select(
-        "item_id", "url", "depth", F.coalesce(F.col("success"), F.lit(False)).alias("success")
-    )
-    return apply_page_budget(with_status, items.select(*SETTINGS_COLS))
+    return apply_page_budget(visited, items.select(*SETTINGS_COLS))
 
 
 def canonical_edges(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -155,6 +162,25 @@ def canonical_edges(links: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     return links.select(normalize_url(F.col(src)).alias("src"), normalize_url(F.col(dst)).alias("dst")).distinct()
 
 
+def first_capture(fetch):
+    """``(key, page_id, fetched, nonblank)``: one capture per canonical URL, the
+    lowest page id wins.  Both flags are decided where the page is scanned and
+    ride in the low bits of the id, so one bigint per URL is aggregated and no
+    page text is moved (ids take 61 bits)."""
+    nonblank = is_nonblank(html_to_markdown(F.col("html")))
+    flags = F.when(F.col("success"), 2).otherwise(0) + F.when(nonblank, 1).otherwise(0)
+    keyed = fetch.select(normalize_url(F.col("url")).alias("key"), (F.shiftleft(F.col("page_id").cast("bigint"), 2) + flags).alias("c"))
+    c = F.col("c")
+    return keyed.groupBy("key").agg(F.min("c").alias("c")).select(
+        "key", F.shiftright(c, 2).alias("page_id"), (c.bitwiseAND(2) != 0).alias("fetched"), (c.bitwiseAND(1) != 0).alias("nonblank")
+    )
+
+
+def capture_status(success):
+    """F13 over the ``nonblank`` flag of a joined capture."""
+    return F.when(~success, "failed").when(F.coalesce("nonblank", F.lit(False)), "success").otherwise("skipped")
+
+
 def canonical_fetch(fetch: DataFrame, url: str = "url") -> DataFrame:
     """``(url, success)`` by canonical URL; a key fetched successfully under
     any spelling counts as fetched."""

@@ -6,7 +6,7 @@ hot item or domain costs one partial row per map task, never a whole group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,10 +49,22 @@ def depth_distribution(results: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(stages: dict[str, DataFrame]) -> DataFrame:
-    """One ``(stage, rows)`` line per named stage (one aggregate each)."""
-    out = None
-    for name, df in stages.items():
-        part = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+def run_urls(results: DataFrame) -> DataFrame:
+    """A4 (row form): ``(item_id, position, url)`` of every reported page in
+    ``(depth, url)`` order.  Positions are counted within a depth and moved by
+    the pages of the depths before, so no item is sorted as a whole."""
+    sizes = results.groupBy("item_id", "depth").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("item_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("item_id", "depth", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("item_id", "depth").orderBy("url"))
+    placed = results.select("item_id", "depth", "url", place.alias("place"))
+    return placed.join(offsets, ["item_id", "depth"]).select(
+        "item_id", (F.col("before") + F.col("place")).cast("bigint").alias("position"), "url")
+
+
+def run_summary(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
+    """One ``(stage, rows)`` line per named stage, each a count over the
+    same rows: one aggregate, then unpivoted."""
+    lines = [F.struct(F.lit(name).alias("stage"), F.col(f"__{i}").alias("rows")) for i, name in enumerate(stages)]
+    counts = df.agg(*[c.cast("bigint").alias(f"__{i}") for i, c in enumerate(stages.values())])
+    return counts.select(F.inline(F.array(*lines)))

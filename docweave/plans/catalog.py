@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.plans import q_assemble, q_crawl, q_functions, q_spec, q_stream  # noqa: F401
+from docweave.plans import q_assemble, q_crawl, q_functions, q_harvest, q_spec, q_stream  # noqa: F401
 from docweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "flagship"]

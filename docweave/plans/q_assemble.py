@@ -11,7 +11,8 @@ from docweave.functions import urls as U
 from docweave.operators import assemble as A
 from docweave.operators.windows import first_by_order
 from docweave.plans import sqlfrag as S
-from docweave.plans.q_crawl import _CRAWL_FIX, _CRAWL_SQL, crawl_results, first_capture
+from docweave.operators.crawl import first_capture
+from docweave.plans.q_crawl import _CRAWL_FIX, _CRAWL_SQL, crawl_results
 from docweave.plans.q_functions import transcript_documents
 from docweave.plans.registry import register
 from docweave.sources import fixtures as X
@@ -213,8 +214,9 @@ def all_documents_df(spark, sf):
         "success",
     ).where("success").drop("success")
     deep = crawl_results(spark, sf).where(F.col("status") == "success")
-    cap = first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "page_id", "html")
-    deep = deep.join(cap, "url").select(
+    cap = first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "page_id")
+    html = X.derived_fetch(spark, sf).select("page_id", "html")
+    deep = deep.join(cap, "url").join(html, "page_id").select(
         F.lit("deep").alias("phase"), "url", C.html_to_markdown(F.col("html")).alias("content"), F.col("page_id").alias("pos")
     )
     return tr.unionByName(flat).unionByName(deep)

@@ -76,25 +76,15 @@ def filter_chain(spark, sf):
 # ------------------------------------------------------------ fetch results
 
 
-def first_capture(fetch):
-    """One capture per canonical URL: the lowest page id wins (partial
-    aggregate with ``min_by``; a hot key costs one row per map task)."""
-    keyed = fetch.withColumn("key", U.normalize_url(F.col("url")))
-    return keyed.groupBy("key").agg(F.min_by(F.struct("page_id", "success", "html"), "page_id").alias("c")).select(
-        "key", "c.page_id", "c.success", "c.html"
-    )
-
-
 def fetch_results(spark, sf):
     """K-S3/J2: requested URLs (every URL variant) joined to the captures by
     canonical URL, left outer: a URL with no capture is a failed fetch.
     Status follows F13 on the markdown of the capture."""
     req = X.url_variants(spark, sf).select("uid", "url", U.normalize_url("url").alias("key"))
-    cap = first_capture(X.derived_fetch(spark, sf))
+    cap = G.first_capture(X.derived_fetch(spark, sf))
     j = req.join(cap, "key", "left")
-    md = C.html_to_markdown(F.col("html"))
-    success = F.coalesce(F.col("success"), F.lit(False))
-    return j.select("uid", "url", "key", success.alias("success"), FL.fetch_status(success, md).alias("status"))
+    success = F.coalesce(F.col("fetched"), F.lit(False))
+    return j.select("uid", "url", "key", success.alias("success"), G.capture_status(success).alias("status"))
 
 
 _FIRST_CAPTURE_SQL = f"""cap AS (
@@ -152,12 +142,13 @@ def batch_stats(spark, sf):
 def run_summary(spark, sf):
     r = fetch_results(spark, sf)
     return ST.run_summary(
+        r,
         {
-            "requested": r,
-            "unique_keys": r.select("key").distinct(),
-            "fetched": r.where("success"),
-            "saved": r.where(F.col("status") == "success"),
-        }
+            "requested": F.count(F.lit(1)),
+            "unique_keys": F.count_distinct("key"),
+            "fetched": F.count_if("success"),
+            "saved": F.count_if(F.col("status") == "success"),
+        },
     )
 
 
@@ -240,10 +231,9 @@ def crawl_results(spark, sf, order="best_first"):
     markdown of the first capture of its canonical URL)."""
     items, edges, fetch = crawl_inputs(spark, sf)
     pages_out = G.deep_crawl(items, edges, fetch, order=order)
-    cap = first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "html")
-    md = C.html_to_markdown(F.col("html"))
+    cap = G.first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "nonblank")
     return pages_out.join(cap, "url", "left").select(
-        "item_id", "url", "depth", "success", FL.fetch_status(F.col("success"), md).alias("status"), F.lit(0.0).alias("score")
+        "item_id", "url", "depth", "success", G.capture_status(F.col("success")).alias("status"), F.lit(0.0).alias("score")
     )
 
 
@@ -319,6 +309,17 @@ def depth_distribution(spark, sf):
     return ST.depth_distribution(crawl_results(spark, sf))
 
 
+@register(
+    "run_urls",
+    f"""WITH RECURSIVE {_CRAWL_SQL}
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY depth, url) AS BIGINT) AS position, url FROM crawl""",
+    _CRAWL_FIX,
+)
+def run_urls(spark, sf):
+    items, edges, fetch = crawl_inputs(spark, sf)
+    return ST.run_urls(G.deep_crawl(items, edges, fetch))
+
+
 @register(
     "visited_after_run",
     f"WITH RECURSIVE {_CRAWL_SQL} SELECT DISTINCT url AS norm_url FROM crawl",

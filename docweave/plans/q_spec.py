@@ -11,19 +11,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweave.functions import urls as U
+from docweave.constants import SITEMAP_MAX_LOCS
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
 from docweave.sources import fixtures as X
 from docweave.sources import spec as SP
-from docweave.sources.tables import pages
 
 # ------------------------------------------------------------------ specs
 
 
-def spec_documents(spark, sf):
-    """``(spec_id, spec_json)``: one job spec per page."""
-    p = pages(spark, sf).select("page_id", "url", X.raw_host(F.col("url")).alias("host"))
+def spec_documents(spark, sf, max_locs=SITEMAP_MAX_LOCS):
+    """``(spec_id, spec_json)``: one job spec per page.  A part of a host's
+    sitemap belongs to one spec, that of the first page it lists."""
+    p = X.ranked_pages(spark, sf)
+    part = F.floor((F.col("rn") - 1) / max_locs).cast("bigint")
     seeds = X.derived_seeds(spark, sf).select("host", F.col("url").alias("seed"))
     p = p.join(seeds, "host")
     blog = F.col("host").startswith("blog.")
@@ -34,7 +35,7 @@ def spec_documents(spark, sf):
         F.when(F.col("page_id") % 4 == 0, F.lit("")).alias("output_format"),
     )
     sitemap_item = F.struct(
-        F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml")).alias("url"),
+        X.sitemap_url(F.col("host"), part).alias("url"),
         F.lit(True).alias("is_sitemap"),
         F.lit(False).alias("should_scrap"),
         F.array(F.lit("article"), F.lit("main")).alias("selectors"),
@@ -49,7 +50,7 @@ def spec_documents(spark, sf):
     )
     spec = F.struct(
         F.struct(F.lit(4).alias("threads"), F.when(F.col("page_id") % 2 == 0, F.lit("markdown")).alias("outputFormat")).alias("defaults"),
-        F.array(F.to_json(page_item), F.to_json(sitemap_item), F.to_json(seed_item)).alias("items_json"),
+        F.array(F.to_json(page_item), F.when((F.col("rn") - 1) % max_locs == 0, F.to_json(sitemap_item)), F.to_json(seed_item)).alias("items_json"),
         F.array(F.concat(F.lit("https://youtu.be/"), F.lpad(F.col("page_id").cast("string"), 11, "a"), F.lit("#t"))).alias("youtube"),
     )
     # items are serialised one by one so each keeps exactly its own keys
@@ -63,13 +64,13 @@ def spec_documents(spark, sf):
     return p.select(F.col("page_id").alias("spec_id"), text.alias("spec_json"))
 
 
-def job_spec_items_df(spark, sf):
-    return SP.spec_items(SP.parse_spec_text(spec_documents(spark, sf)), ["spec_id"])
+def job_spec_items_df(spark, sf, max_locs=SITEMAP_MAX_LOCS):
+    return SP.spec_items(SP.parse_spec_text(spec_documents(spark, sf, max_locs)), ["spec_id"])
 
 
 _ITEMS_SQL = f"""
-  p AS (SELECT page_id, url, {S.q('x')} AS x, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages),
-  specs AS (SELECT p.*, s.url AS seed FROM p JOIN derived_seeds s ON s.host = p.host),
+  specs AS (SELECT r.*, (r.rn - 1) // {SITEMAP_MAX_LOCS} AS part, (r.rn - 1) % {SITEMAP_MAX_LOCS} = 0 AS lists, s.url AS seed
+            FROM ranked_pages r JOIN derived_seeds s ON s.host = r.host),
   items AS (
     SELECT page_id AS spec_id, 0 AS pos, url, false AS is_sitemap, false AS should_scrap, 'article' AS selectors,
            false AS include_external, true AS include_subdomains, 2 AS max_depth, 100 AS max_pages, '' AS paths_to_skip_regex,
@@ -78,14 +79,25 @@ _ITEMS_SQL = f"""
            CASE WHEN starts_with(host, 'blog.') THEN 'file_per_domain' ELSE 'folder_per_domain' END AS persistence
     FROM specs
     UNION ALL
-    SELECT page_id, 1, 'https://' || host || '/sitemap.xml', true, false, 'article,main', false, true, 2, 50, '', NULL, 'markdown',
+    SELECT page_id, 1, 'https://' || host || CASE WHEN part = 0 THEN '/sitemap.xml' ELSE '/sitemap-' || part || '.xml' END,
+           true, false, 'article,main', false, true, 2, 50, '', NULL, 'markdown',
            CASE WHEN starts_with(host, 'blog.') THEN 'file_per_domain' ELSE 'folder_per_domain' END
-    FROM specs
+    FROM specs WHERE lists
     UNION ALL
-    SELECT page_id, 2, seed, false, true, '', false, NOT starts_with(host, 'blog.'), 1, 100, '/(de|es)/', NULL, 'markdown',
+    SELECT page_id, CASE WHEN lists THEN 2 ELSE 1 END, seed, false, true, '', false, NOT starts_with(host, 'blog.'), 1, 100, '/(de|es)/', NULL, 'markdown',
            CASE WHEN starts_with(host, 'blog.') THEN 'file_per_domain' ELSE 'folder_per_domain' END
     FROM specs)"""
 
+# what the sitemaps list is taken from the pages, not from the sitemap documents
+_EXPANDED_SQL = f"""
+  expanded AS (
+    SELECT f.page_id AS spec_id, 1 AS pos, CAST(r.rn - f.rn AS BIGINT) AS sub, {S.normalize_url('r.url')} AS url,
+           false AS is_sitemap, false AS should_scrap, 'article,main' AS selectors, 50 AS max_pages,
+           true AS include_subdomains, CASE WHEN starts_with(f.host, 'blog.') THEN 'file_per_domain' ELSE 'folder_per_domain' END AS persistence
+    FROM ranked_pages r JOIN specs f ON f.host = r.host AND f.lists AND f.part = (r.rn - 1) // {SITEMAP_MAX_LOCS}
+    UNION ALL
+    SELECT spec_id, pos, CAST(0 AS BIGINT), url, is_sitemap, should_scrap, selectors, max_pages, include_subdomains, persistence FROM items WHERE NOT is_sitemap)"""
+
 
 @register(
     "job_spec_items",
@@ -121,29 +133,6 @@ def split_flat_deep(spark, sf):
     return d.select("spec_id", "pos", F.when(F.col("should_scrap"), F.lit("deep")).otherwise(F.lit("flat")).alias("kind"))
 
 
-@register(
-    "crawl_plan",
-    f"""WITH {_ITEMS_SQL},
-    plan AS (
-      SELECT spec_id, 'youtube' AS kind, 0 AS phase, 0 AS pos,
-             {S.normalize_url("'https://youtu.be/' || lpad(CAST(spec_id AS VARCHAR), 11, 'a') || '#t'")} AS url
-      FROM (SELECT DISTINCT spec_id FROM items) s
-      UNION ALL SELECT spec_id, 'flat', 1, pos, url FROM items WHERE NOT should_scrap
-      UNION ALL SELECT spec_id, 'deep', 2, pos, url FROM items WHERE should_scrap)
-    SELECT spec_id, kind, CAST(phase AS INTEGER) AS phase, CAST(pos AS INTEGER) AS pos, url FROM plan""",
-    ("derived_seeds",),
-)
-def crawl_plan(spark, sf):
-    """P15 (dry run): what a run would process, in phase order: videos,
-    flat items, deep items; nothing is fetched."""
-    spec = SP.parse_spec_text(spec_documents(spark, sf))
-    items = SP.spec_items(spec, ["spec_id"])
-    vids = SP.spec_videos(spec, ["spec_id"]).select("spec_id", F.lit("youtube").alias("kind"), F.lit(0).alias("phase"), "pos", "url")
-    flat = items.where(~F.col("should_scrap")).select("spec_id", F.lit("flat").alias("kind"), F.lit(1).alias("phase"), "pos", "url")
-    deep = items.where(F.col("should_scrap")).select("spec_id", F.lit("deep").alias("kind"), F.lit(2).alias("phase"), "pos", "url")
-    return vids.unionByName(flat).unionByName(deep)
-
-
 # ---------------------------------------------------------------- sitemaps
 
 _LOCS_SQL = """locs AS (
@@ -163,48 +152,56 @@ def sitemap_locs(spark, sf):
 )
 def sitemap_counts(spark, sf):
     """Locs per sitemap (0 = failed or empty)."""
-    sm = X.derived_sitemaps(spark, sf)
-    n = SP.sitemap_locs(sm, keys=["host", "part"]).groupBy("host", "part").agg(F.count(F.lit(1)).alias("n"))
-    return sm.select("host", "part").join(n, ["host", "part"], "left").select(
-        "host", "part", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("locs")
-    )
+    return X.derived_sitemaps(spark, sf).select("host", "part", SP.loc_count(F.col("xml")).alias("locs"))
+
+
+SITEMAP_ITEM_COLS = ["spec_id", "pos", "sub", "url", "is_sitemap", "should_scrap", "selectors", "max_pages"]
+
+
+def expanded_items(spark, sf, max_locs=SITEMAP_MAX_LOCS):
+    """Items of every spec with its sitemap items expanded."""
+    sm = X.derived_sitemaps(spark, sf, max_locs).withColumn("sitemap_url", X.sitemap_url(F.col("host"), F.col("part")))
+    locs = SP.sitemap_locs(sm, keys=["sitemap_url"])
+    return SP.expand_sitemaps(job_spec_items_df(spark, sf, max_locs), locs)
 
 
 @register(
     "sitemap_items",
-    f"""WITH {_ITEMS_SQL}, {_LOCS_SQL},
-    sm AS (SELECT host, part, 'https://' || host || '/sitemap.xml' AS sitemap_url FROM derived_sitemaps),
-    src AS (SELECT * FROM items WHERE spec_id IN (SELECT min(page_id) FROM pages GROUP BY regexp_extract(url, '^https?://([^/?#]+)', 1))),
-    expanded AS (
-      SELECT i.spec_id, i.pos, CAST(l.part * 1000000 + l.pos AS BIGINT) AS sub, {S.normalize_url('l.loc')} AS url, false AS is_sitemap, false AS should_scrap,
-             i.selectors, CAST(i.max_pages AS INTEGER) AS max_pages
-      FROM src i JOIN sm ON sm.sitemap_url = i.url JOIN locs l ON l.host = sm.host AND l.part = sm.part
-      WHERE i.is_sitemap AND NOT i.should_scrap
-      UNION ALL
-      SELECT spec_id, pos, CAST(0 AS BIGINT), url, is_sitemap, should_scrap, selectors, CAST(max_pages AS INTEGER) FROM src
-      WHERE NOT (is_sitemap AND NOT should_scrap))
-    SELECT spec_id, CAST(pos AS INTEGER) AS pos, sub, url, is_sitemap, should_scrap, selectors, max_pages FROM expanded""",
-    ("derived_seeds", "derived_sitemaps"),
+    f"""WITH {_ITEMS_SQL}, {_EXPANDED_SQL}
+    SELECT spec_id, CAST(pos AS INTEGER) AS pos, sub, url, is_sitemap, should_scrap, selectors, CAST(max_pages AS INTEGER) AS max_pages FROM expanded""",
+    ("derived_seeds",),
 )
 def sitemap_items(spark, sf):
-    """J1 + P14 + F6 + U1: items of each host's first spec with sitemap items
-    (sitemap and not deep) replaced by one item per listed URL, settings
-    copied, URL canonicalised, flags cleared; other items pass through in
-    place.  ``(pos, sub)`` keeps the original order."""
-    p = pages(spark, sf).select("page_id", X.raw_host(F.col("url")).alias("host"))
-    first_specs = p.groupBy("host").agg(F.min("page_id").alias("spec_id")).select("spec_id")
-    items = job_spec_items_df(spark, sf).join(first_specs, "spec_id", "left_semi")
-    sm = X.derived_sitemaps(spark, sf)
-    # a host's item stands for all parts of its sitemap: no part is left out
-    sm_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml"))
-    locs = SP.sitemap_locs(sm.withColumn("sitemap_url", sm_url), keys=["sitemap_url", "part"])
-    expand = items.where(F.col("is_sitemap") & ~F.col("should_scrap"))
-    keep = items.where(~(F.col("is_sitemap") & ~F.col("should_scrap")))
-    expanded = expand.join(locs, expand["url"] == locs["sitemap_url"]).select(
-        "spec_id", expand["pos"], (F.col("part") * 1000000 + locs["pos"]).cast("bigint").alias("sub"),
-        U.normalize_url(F.col("loc")).alias("url"), F.lit(False).alias("is_sitemap"), F.lit(False).alias("should_scrap"),
-        "selectors", "max_pages",
-    )
-    passed = keep.select("spec_id", "pos", F.lit(0).cast("bigint").alias("sub"), "url", "is_sitemap", "should_scrap", "selectors", "max_pages")
-    out = expanded.unionByName(passed)
-    return out.select("spec_id", "pos", "sub", "url", "is_sitemap", "should_scrap", F.array_join("selectors", ",").alias("selectors"), "max_pages")
+    """J1 + P14 + F6 + U1: all items, sitemap items replaced by one item per
+    listed URL.  The oracle takes the listed URLs from the pages."""
+    out = expanded_items(spark, sf)
+    return out.withColumn("selectors", F.array_join("selectors", ",")).select(*SITEMAP_ITEM_COLS)
+
+
+# ------------------------------------------------------------------ dry run
+
+@register(
+    "crawl_plan",
+    f"""WITH {_ITEMS_SQL}, {_EXPANDED_SQL},
+    keyed AS (SELECT *, {S.normalize_url('url')} AS key FROM expanded),
+    kept AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY spec_id, key ORDER BY pos, sub) = 1),
+    plan AS (
+      SELECT page_id AS spec_id, 'youtube' AS kind, 0 AS phase, 0 AS pos, CAST(0 AS BIGINT) AS sub,
+             {S.normalize_url("'https://youtu.be/' || lpad(CAST(page_id AS VARCHAR), 11, 'a') || '#t'")} AS url
+      FROM specs
+      UNION ALL SELECT spec_id, 'flat', 1, pos, sub, url FROM kept WHERE NOT should_scrap
+      UNION ALL SELECT spec_id, 'deep', 2, pos, sub, url FROM kept WHERE should_scrap)
+    SELECT spec_id, kind, CAST(phase AS INTEGER) AS phase, CAST(pos AS INTEGER) AS pos, sub, url FROM plan""",
+    ("derived_seeds",),
+)
+def crawl_plan(spark, sf):
+    """P15 (dry run): what a run would process, after sitemap expansion
+    and first-wins dedup (W1): videos, flat items, deep items in the order
+    ``(phase, pos, sub)``; nothing is fetched."""
+    items = SP.dedup_items(expanded_items(spark, sf), ["spec_id"])
+    deep = F.col("should_scrap")
+    listed = items.select(
+        "spec_id", F.when(deep, "deep").otherwise("flat").alias("kind"), F.when(deep, 2).otherwise(1).alias("phase"), "pos", "sub", "url")
+    vids = SP.spec_videos(SP.parse_spec_text(spec_documents(spark, sf)), ["spec_id"]).select(
+        "spec_id", F.lit("youtube").alias("kind"), F.lit(0).alias("phase"), "pos", F.lit(0).cast("bigint").alias("sub"), "url")
+    return vids.unionByName(listed)

@@ -105,12 +105,18 @@ def derived_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derived_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sitemap_url(host, part) -> F.Column:
+    """URL of a part of a host's sitemap: ``/sitemap.xml``, ``/sitemap-1.xml``, ..."""
+    name = F.when(part == 0, F.lit("/sitemap.xml")).otherwise(F.concat(F.lit("/sitemap-"), part.cast("string"), F.lit(".xml")))
+    return F.concat(F.lit("https://"), host, name)
+
+
+def derived_sitemaps(spark: SparkSession, sf_dir: str, max_locs: int = SITEMAP_MAX_LOCS) -> DataFrame:
     """``(host, part, xml)``: per host the sitemap(s) listing its pages in id
     order, split at the protocol's 50,000-URL limit so no sitemap grows with
     the host."""
     r = ranked_pages(spark, sf_dir)
-    r = r.withColumn("part", F.floor((F.col("rn") - 1) / SITEMAP_MAX_LOCS).cast("bigint"))
+    r = r.withColumn("part", F.floor((F.col("rn") - 1) / max_locs).cast("bigint"))
     entry = F.concat(F.lit("<url><loc>"), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))
     body = F.expr("listagg(__entry, '') WITHIN GROUP (ORDER BY page_id)")
     return (

@@ -115,24 +115,53 @@ def spec_videos(spec: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def expand_sitemaps(items: DataFrame, locs: DataFrame) -> DataFrame:
+    """J1 + P14 + F6 + U1: sitemap items that are not deep give way to one item
+    per ``locs(sitemap_url, pos, loc)`` of their URL: canonical URL, settings
+    copied, flags cleared.  Other items pass.  ``sub`` is the place in the
+    sitemap (0 for the others), so ``(pos, sub)`` keeps the order."""
+    is_sitemap = F.col("is_sitemap") & ~F.col("should_scrap")
+    listed = locs.select(F.col("sitemap_url").alias("url"), F.col("pos").cast("bigint").alias("sub"), "loc")
+    cleared = {"url": normalize_url(F.col("loc")), "is_sitemap": F.lit(False), "should_scrap": F.lit(False)}
+    expanded = items.where(is_sitemap).join(listed, "url").select(
+        *[cleared.get(c, F.col(c)).alias(c) for c in items.columns], "sub")
+    return expanded.unionByName(items.where(~is_sitemap).withColumn("sub", F.lit(0).cast("bigint")))
+
+
+def dedup_items(items: DataFrame, keys: list[str]) -> DataFrame:
+    """W1 on the expanded items of each spec: the first ``(pos, sub)`` of a
+    canonical URL stays, with the URL as it was written."""
+    rows = items.withColumn("__ord", F.shiftleft(F.col("pos").cast("bigint"), 40) + F.col("sub"))
+    first = rows.groupBy(*keys, normalize_url(F.col("url")).alias("__key")).agg(F.min("__ord").alias("__ord"))
+    return rows.join(first.drop("__key"), [*keys, "__ord"], "left_semi").drop("__ord")
+
+
 # ------------------------------------------------------------------ sitemaps
 
 NAMESPACE_GUARD = r"""xmlns(:\w+)?=["']""" + SITEMAP_NAMESPACE.replace(".", r"\.") + """["']"""
 LOC_SCHEMA = "url array<struct<loc:string>>, sitemap array<struct<loc:string>>"
 
 
+def _loc_texts(xml: Column) -> Column:
+    parsed = F.from_xml(xml, LOC_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    empty = F.array().cast("array<struct<loc:string>>")
+    locs = F.concat(F.coalesce(parsed["url"], empty), F.coalesce(parsed["sitemap"], empty))
+    return F.transform(locs, lambda x: F.trim(x["loc"]))
+
+
+def loc_count(xml: Column) -> Column:
+    """Number of non-empty ``<loc>`` entries (0 = failed or empty)."""
+    found = F.size(F.filter(_loc_texts(xml), lambda x: x.isNotNull() & (x != "")))
+    return F.when(xml.rlike(NAMESPACE_GUARD), F.greatest(found, F.lit(0))).otherwise(0).cast("bigint")
+
+
 def sitemap_locs(sitemaps: DataFrame, xml_col: str = "xml", keys: list[str] | None = None) -> DataFrame:
     """K-S2 + F12: every ``<loc>`` of a sitemaps.org document (url set or
     index), in document order, non-empty text only.  Documents without the
     sitemaps namespace or that do not parse yield no rows (a failed sitemap
     is silently empty)."""
-    keys = keys or []
-    parsed = F.from_xml(F.col(xml_col), LOC_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-    empty = F.array().cast("array<struct<loc:string>>")
-    locs = F.concat(F.coalesce(parsed["url"], empty), F.coalesce(parsed["sitemap"], empty))
-    ok = F.col(xml_col).rlike(NAMESPACE_GUARD)
     return (
-        sitemaps.where(ok)
-        .select(*keys, F.posexplode(F.transform(locs, lambda x: F.trim(x["loc"]))).alias("pos", "loc"))
+        sitemaps.where(F.col(xml_col).rlike(NAMESPACE_GUARD))
+        .select(*(keys or []), F.posexplode(_loc_texts(F.col(xml_col))).alias("pos", "loc"))
         .where(F.col("loc").isNotNull() & (F.col("loc") != ""))
     )

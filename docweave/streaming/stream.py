@@ -1,10 +1,11 @@
 """Structured Streaming forms.
 
 Pages arrive as parquet files in a folder.  Every query runs with
-``trigger(availableNow=True)`` so a run drains what is there and stops; its
-checkpoint and output live in the shared folder named by
-``spark.checkpoint.dir``, so a restarted job resumes exactly where it left
-off (file sources + checkpointed offsets + idempotent sinks).
+``trigger(availableNow=True)`` so a run drains what is there and stops.  Its
+checkpoint and output live at the caller's ``location`` in shared storage; a
+run that names the location of an earlier one goes on where that left off
+(file sources + checkpointed offsets + idempotent sinks).  Without a location
+each run takes a new folder under ``spark.checkpoint.dir`` and starts afresh.
 """
 
 from __future__ import annotations
@@ -53,10 +54,12 @@ def page_documents(stream: DataFrame) -> DataFrame:
              F.length("markdown").cast("bigint").alias("size"))
 
 
-def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, output_mode: str = "append") -> DataFrame:
+def run_to_parquet(
+    df: DataFrame, spark: SparkSession, name: str, output_mode: str = "append", location: str | None = None
+) -> DataFrame:
     """Drain a streaming DataFrame into parquet (file sink, exactly-once via
     its metadata log) and read the result back as a batch DataFrame."""
-    base = stream_folder(spark, name)
+    base = location or stream_folder(spark, name)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     q = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode(output_mode)
     q.trigger(availableNow=True).start().awaitTermination()
@@ -64,44 +67,45 @@ def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, output_mode: s
 
 
 def run_foreach_batch(
-    df: DataFrame, spark: SparkSession, name: str, sink: Callable[[DataFrame, str], None], output_mode: str = "append"
-) -> tuple[str, int | None]:
+    df: DataFrame, spark: SparkSession, name: str, sink: Callable[[DataFrame, str], None], output_mode: str = "append",
+    location: str | None = None,
+) -> str:
     """Drain a stream through a batch sink; the sink receives each micro-
     batch and an output folder keyed by batch id (overwrite per batch id is
-    idempotent when a batch is replayed).  Returns the folder and the last
-    batch id."""
-    base = stream_folder(spark, name)
+    idempotent when a batch is replayed).  Returns the folder."""
+    base = location or stream_folder(spark, name)
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
-    last: list[int] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
         sink(batch, os.path.join(out, f"batch={batch_id}"))
-        last[:] = [batch_id]
 
     q = df.writeStream.foreachBatch(each).option("checkpointLocation", ckpt).outputMode(output_mode)
     q.trigger(availableNow=True).start().awaitTermination()
-    return out, last[0] if last else None
+    return out
 
 
 def overwrite_parquet(batch: DataFrame, path: str) -> None:
     batch.write.mode("overwrite").parquet(path)
 
 
-def stream_stats(stream: DataFrame, spark: SparkSession) -> DataFrame:
-    """S3: running pages per (domain, status); complete mode, each trigger
-    rewrites the full (small) aggregate through ``foreachBatch``; the last
-    batch holds the final counts."""
+def stream_stats(stream: DataFrame, spark: SparkSession, location: str | None = None) -> DataFrame:
+    """S3: running pages per (domain, status).  Update mode: a batch writes only
+    the keys it changed; counts only grow, so the largest one of a key holds."""
     agg = page_documents(stream).groupBy("domain", "status").agg(F.count(F.lit(1)).alias("pages"))
-    out, last = run_foreach_batch(agg, spark, "stats", overwrite_parquet, output_mode="complete")
-    if last is None:
-        return spark.createDataFrame([], agg.schema)
-    return spark.read.schema(agg.schema).parquet(os.path.join(out, f"batch={last}"))
-
-
-def stream_dedup(stream: DataFrame) -> DataFrame:
-    """First arrival per canonical URL (state keyed by the URL).  With an
-    event-time column, ``dropDuplicatesWithinWatermark`` bounds the state."""
-    return stream.withColumn("key", normalize_url(F.col("url"))).dropDuplicates(["key"])
+    out = run_foreach_batch(agg, spark, "stats", overwrite_parquet, output_mode="update", location=location)
+    # an empty part, for a stream on which nothing has arrived
+    overwrite_parquet(spark.createDataFrame([], agg.schema), os.path.join(out, "batch=-1"))
+    return spark.read.schema(agg.schema).parquet(out).groupBy("domain", "status").agg(F.max("pages").alias("pages"))
+
+
+def stream_dedup(stream: DataFrame, time_col: str | None = None, delay: str = "1 day") -> DataFrame:
+    """First arrival per canonical URL.  Without an arrival time the state
+    keeps every URL; with ``time_col`` it keeps those of the last ``delay``
+    only, and a URL that comes back later than that counts as new."""
+    keyed = stream.withColumn("key", normalize_url(F.col("url")))
+    if time_col is None:
+        return keyed.dropDuplicates(["key"])
+    return keyed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["key"])
 
 
 FLUSH_STATE = "count long, size long, flush_id long"
