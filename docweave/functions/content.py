@@ -107,6 +107,13 @@ def html_to_markdown(html, selected_tag: str | None = None) -> Column:
     return to_markdown(narrowed)
 
 
+def once(col) -> Column:
+    """``col`` as the one element of a generator: a filter on the result is not
+    pushed below it, so a long expression is worked out once per row and its
+    code is not written twice."""
+    return F.explode(F.array(_col(col)))
+
+
 # ---------------------------------------------------------------- links (H2)
 
 def extract_hrefs(html) -> Column:

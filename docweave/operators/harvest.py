@@ -75,11 +75,13 @@ def harvest(items: DataFrame, videos: DataFrame, fetch: DataFrame, edges: DataFr
     is converted once.
     """
     ensure_checkpoint_dir(items.sparkSession)
+    # read by every phase and crawl level: the specs are parsed and expanded once
+    items = items.checkpoint(eager=True)
     refs = page_references(items, fetch, edges).unionByName(video_references(videos), allowMissingColumns=True)
     refs = refs.orderBy("spec_id", *ORDER).withColumn("ord", F.monotonically_increasing_id()).checkpoint(eager=True)
     wanted = refs.where(F.col("phase") != VIDEO).select("page_id", "selectors").distinct()
     texts = wanted.join(fetch.select("page_id", "html"), "page_id").select(
-        "page_id", "selectors", selected_markdown(F.col("html"), F.col("selectors")).alias("content"))
+        "page_id", "selectors", C.once(selected_markdown(F.col("html"), F.col("selectors"))).alias("content"))
     page_saves = refs.join(texts, ["page_id", "selectors"]).select(*_REF, "ord", "content")
     spoken = transcripts.select("video_id", T.clean_transcript("transcript").alias("text")).where(F.col("text") != "")
     video_saves = refs.where(F.col("phase") == VIDEO).join(spoken, "video_id").select(

@@ -51,7 +51,7 @@ def flat_saves(spark, sf):
     """Pages handed to the sink by a flat batch: successful captures with
     their markdown, in page order."""
     f = X.derived_fetch(spark, sf).where("success")
-    docs = f.select("url", C.html_to_markdown(F.col("html")).alias("content"), F.col("page_id").alias("ord"))
+    docs = f.select("url", C.once(C.html_to_markdown(F.col("html"))).alias("content"), F.col("page_id").alias("ord"))
     return A.saves(docs)
 
 
@@ -59,7 +59,7 @@ def variant_saves(spark, sf):
     """Every URL variant saved with its page's markdown (exercises path
     collisions: variants of one page share a file path)."""
     v = X.url_variants(spark, sf).withColumn("page_id", F.floor(F.col("uid") / 8).cast("bigint"))
-    md = X.derived_fetch(spark, sf).where("success").select("page_id", C.html_to_markdown(F.col("html")).alias("content"))
+    md = X.derived_fetch(spark, sf).where("success").select("page_id", C.once(C.html_to_markdown(F.col("html"))).alias("content"))
     return A.saves(v.join(md, "page_id").select("url", "content", F.col("uid").alias("ord")))
 
 

@@ -24,6 +24,7 @@ from docweave.constants import (
     DEFAULT_THREADS,
     SITEMAP_NAMESPACE,
 )
+from docweave.functions.content import once
 from docweave.functions.urls import normalize_url
 
 S, B, I, D = T.StringType(), T.BooleanType(), T.IntegerType(), T.DoubleType()
@@ -111,7 +112,7 @@ def spec_items(spec: DataFrame, keys: list[str]) -> DataFrame:
 def spec_videos(spec: DataFrame, keys: list[str]) -> DataFrame:
     """Video URLs of a spec, canonicalised (P1) but not de-duplicated."""
     return spec.select(*keys, F.posexplode(F.coalesce("youtube", F.array().cast("array<string>"))).alias("pos", "url")).select(
-        *keys, "pos", normalize_url(F.col("url")).alias("url")
+        *keys, "pos", once(normalize_url(F.col("url"))).alias("url")
     )
 
 
@@ -122,7 +123,7 @@ def expand_sitemaps(items: DataFrame, locs: DataFrame) -> DataFrame:
     sitemap (0 for the others), so ``(pos, sub)`` keeps the order."""
     is_sitemap = F.col("is_sitemap") & ~F.col("should_scrap")
     listed = locs.select(F.col("sitemap_url").alias("url"), F.col("pos").cast("bigint").alias("sub"), "loc")
-    cleared = {"url": normalize_url(F.col("loc")), "is_sitemap": F.lit(False), "should_scrap": F.lit(False)}
+    cleared = {"url": once(normalize_url(F.col("loc"))), "is_sitemap": F.lit(False), "should_scrap": F.lit(False)}
     expanded = items.where(is_sitemap).join(listed, "url").select(
         *[cleared.get(c, F.col(c)).alias(c) for c in items.columns], "sub")
     return expanded.unionByName(items.where(~is_sitemap).withColumn("sub", F.lit(0).cast("bigint")))
