@@ -269,16 +269,19 @@ def _bucket_groups(ctx: DataFrame, length: int, bucket_rows: int, members: bool)
     return union_all([_scan(part, length, members) for part in fit] + ends)
 
 
-def _indexed(df: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _indexed(df: DataFrame, id_col: str, text_col: str, length: int, members: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Suffixes at shared anchors, their classes with several occurrences as
-    groups, and the contexts of the buckets that have to be scanned."""
+    groups, and the contexts of the buckets that have to be scanned: all with
+    several classes for ``members``; for spans those with a class of one
+    occurrence, as the others are covered by their own groups."""
     docs = with_uid(df, id_col, text_col)
     rows = suffixes(docs, length)
     shared = shared_table(rows.groupBy("a").count().where("count > 1").select("a"), "anchors")
     dup = shared_table(rows.join(shared, "a", "left_semi"), "suffixes")
     classes = shared_table(dup.groupBy("a", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("uid", "pos", "l", "r")).alias("at")), "classes")
-    buckets = classes.groupBy("a").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 AND least = 1").select("a")
+    buckets = classes.groupBy("a").agg(F.count("*").alias("k"), F.min("n").alias("least"))
+    buckets = buckets.where("k > 1" if members else "k > 1 AND least = 1").select("a")
     buckets = shared_table(buckets, "buckets")
     need = classes.join(buckets, "a", "left_semi").select("a", "c", "at.*")
     ctx = shared_table(_contexts(need, docs), "contexts")
@@ -290,7 +293,7 @@ def repeat_occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``(repeat_id, uid, start, length)``: every occurrence of every maximal
     repeat group of ``length`` bytes or more (bytes of the UTF-8 text)."""
-    dup, whole, ctx = _indexed(df, id_col, text_col, length)
+    dup, whole, ctx = _indexed(df, id_col, text_col, length, True)
     groups = shared_table(whole.unionByName(_bucket_groups(ctx, length, bucket_rows, True)), "groups")
     return groups.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(
         "repeat_id", "uid", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
@@ -300,7 +303,7 @@ def repeat_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``(uid, start, length)``: for each suffix the union of the groups it is a
     member of (all of them hold its anchor, so the union is one span)."""
-    dup, whole, ctx = _indexed(df, id_col, text_col, length)
+    dup, whole, ctx = _indexed(df, id_col, text_col, length, False)
     groups = whole.unionByName(_bucket_groups(ctx, length, bucket_rows, False))
     extents = shared_table(groups.groupBy("a", "c").agg(F.max("e").alias("e"), F.max("d").alias("d")), "extents")
     return extents.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(

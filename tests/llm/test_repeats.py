@@ -85,3 +85,14 @@ def test_interval_scan():
 
 def test_empty_table(docs):
     assert R.remove_repeats(docs([])).count() == 0
+
+
+def test_copied_documents_that_share_a_passage(docs):
+    rng = random.Random(6)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    p = make(300)
+    one, two = make(200) + p + make(200), make(200) + p + make(200)
+    groups = {}
+    for r in R.repeat_occurrences(docs([one, two, one, two])).collect():
+        groups.setdefault(r.repeat_id, set()).add(r.uid)
+    assert {frozenset(g) for g in groups.values()} == {frozenset({0, 2}), frozenset({1, 3}), frozenset({0, 1, 2, 3})}
