@@ -97,6 +97,13 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
                 blocks.append((home, text, max(0.0, len(text) - 2.0 * linked)))
         held, linked = [], 0
 
+    def start():
+        nonlocal home
+        if not held:
+            home = stack[-1]
+            while home.tag in INLINE:
+                home = home.parent
+
     def shut(i: int):
         nonlocal links
         links -= sum(n.tag == "a" for n in stack[i:])
@@ -107,10 +114,7 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
         m = TOKEN.search(source, at)
         text = source[at:m.start() if m else end]
         if text:
-            if not held:
-                home = stack[-1]
-                while home.tag in INLINE:
-                    home = home.parent
+            start()
             if not stack[-1].skip:
                 held.append(text)
                 linked += len(text.strip()) if links else 0
@@ -132,7 +136,9 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
                     break
             continue
         if tag == "br":
-            held.append("\n")
+            start()
+            if not stack[-1].skip:
+                held.append("\n")
             continue
         if tag in INLINE:
             n = _node(tag, m[3] or m[6] or "", stack[-1])

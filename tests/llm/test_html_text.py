@@ -36,3 +36,8 @@ def test_host_vote_wins_over_a_page(spark):
     assert [got[i] for i in range(6)] == ["the story of the day is told here at length"] * 6
     assert got[6] == got[7] == ""
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_break_before_the_first_text_of_a_block():
+    assert H.main_text("<nav>menu</nav><div class=content><br>First paragraph text</div>", None) == "First paragraph text"
+    assert H.main_text("<div class=content>one<nav><br>menu<br></nav><br>two</div>", None) == "one two"
