@@ -85,8 +85,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that no item contaminates."""
-    bad = contamination(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad_id")), "left_anti")
+    # a row is known by its id and text: ids may be null or stand for several texts
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    rows = docs.select(key.alias("_row"), F.col(text_col).alias("text"))
+    bad = contamination(rows, items, "_row", "text", **options).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, key.eqNullSafe(F.col("_bad")), "left_anti")
 
 
 ORACLE = r"""

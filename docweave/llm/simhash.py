@@ -249,22 +249,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` (all columns) with one document of each group: the
-    least id (a null id only if there is no other), ties by text hash."""
-    found = near_duplicates(df, id_col, text_col, **options).select("doc_id", "component_id", "fp")
+    least id (a null id only if there is no other), ties by text hash.  A row is
+    known by its id and text: one id may stand for several texts."""
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    named = shared_table(found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
-    kept = df.join(named, df[id_col] == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
-    # groups of null ids only: one row for each fingerprint's component
-    lost = found.where("doc_id IS NULL AND component_id IS NULL").select("fp").distinct()
-    if lost.isEmpty():
-        return kept
-    nameless = df.where(F.col(id_col).isNull()).withColumn("_th", th)
-    fps = shared_table(fingerprints_by_text(nameless, text_col, options.get("shingle", 3)), "nameless")
-    entries = fps.groupBy("fp").agg(F.min("_th").alias("_th")).join(lost, "fp", "left_semi")
-    comp = components(fingerprint_links(entries.select("fp"), options.get("max_bits", 2)))
-    entries = entries.join(comp, entries.fp == comp.node, "left").groupBy(F.coalesce("component", "fp").alias("c")).agg(F.min("_th").alias("_kept_th"))
-    rest = nameless.join(entries, F.col("_th") == F.col("_kept_th"), "left_semi").dropDuplicates(["_th"]).drop("_th")
-    return kept.unionByName(rest)
+    fps = fingerprints_by_text(df.select(th.alias("_th"), F.col(text_col)), text_col, options.get("shingle", 3))
+    fps = shared_table(fps.groupBy("_th").agg(F.min("fp").alias("fp")), "fingerprints")
+    entries = fps.select("fp").distinct()
+    comp = components(fingerprint_links(entries, options.get("max_bits", 2), options.get("bucket_rows", BUCKET_ROWS)))
+    named = entries.join(comp, entries.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    # the least id of each text (nulls last), then the least of these in each component
+    first = df.select(th.alias("_th"), F.col(id_col).alias("id")).groupBy("_th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("at"))
+    least = first.join(fps, "_th").join(named, "fp").groupBy("component").agg(F.min(F.struct("at.none", "at.id", "_th")).alias("kept"))
+    least = shared_table(least.select(F.col("kept.id").alias("_kept_id"), F.col("kept._th").alias("_kept_th")), "kept")
+    rows = df.withColumn("_th", th)
+    rows = rows.join(least, (F.col("_th") == F.col("_kept_th")) & rows[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    return rows.dropDuplicates([id_col, "_th"]).drop("_th")
 
 
 def fingerprints_by_text(df: DataFrame, text_col: str, shingle: int) -> DataFrame:

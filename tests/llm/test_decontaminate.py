@@ -59,3 +59,10 @@ def test_rows_and_empty_tables(docs, spark):
     assert sorted((r.doc_id or -1) for r in out.collect()) == [-1, 2, 3]
     assert D.contamination(docs([]), items).count() == 0
     assert D.contamination(df, items.limit(0)).count() == 0
+
+
+def test_clean_texts_under_the_id_of_a_contaminated_one_stay(docs, spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    bad = "zero one two three four five six seven eight"
+    out = D.decontaminate(docs([(None, bad), (None, "clean text"), (4, bad), (4, "another clean text"), (None, None)]), items)
+    assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == [("4", "another clean text"), ("None", "None"), ("None", "clean text")]

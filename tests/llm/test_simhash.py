@@ -87,3 +87,9 @@ def test_one_of_each_keeps_columns_and_one_row(docs):
 def test_empty_table(docs):
     assert S.near_duplicates(docs([])).count() == 0
     assert S.one_of_each(docs([])).count() == 0
+
+
+def test_one_of_each_keeps_different_texts_of_one_id(docs):
+    one, two = " ".join(f"word{i}" for i in range(80)), " ".join(f"other{i}" for i in range(80))
+    got = S.one_of_each(docs([(5, one), (5, two), (5, two), (6, one)])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, two), (5, one)])
