@@ -47,3 +47,24 @@ def test_empty_tables(spark, docs):
     labelled = spark.createDataFrame([], "domain string, text string")
     assert M.mix(docs([]), labelled, {"en": 1.0, "fr": 1.0}).count() == 0
     assert M.mix(docs([(1, EN)]), labelled, {"en": 1.0, "fr": 1.0}).count() == 1
+
+
+def test_domains_of_small_share_meet_targets(spark):
+    targets = np.array([0.4, 0.2, 0.2, 0.2])
+    for share in (0.01, 0.001):
+        tokens = [int(1e6 * (1 - 3 * share))] + [int(1e6 * share)] * 3
+        rows = spark.createDataFrame([(n, [float(i == k) for i in range(4)]) for k, n in enumerate(tokens)], "n_tokens long, posterior array<double>")
+        moves, residual = M.fit_rates(rows, targets)
+        rate = M.replay(np.eye(4), moves)[0]
+        assert np.abs(rate * tokens / sum(tokens) - targets).max() < 2e-4 and residual <= M.TOLERANCE
+
+
+def test_a_target_out_of_reach_leaves_a_residual(spark):
+    rows = spark.createDataFrame([(100, [0.5, 0.5])], "n_tokens long, posterior array<double>")
+    assert abs(M.fit_rates(rows, np.array([0.8, 0.2]), stall=5)[1] - 0.3) < 1e-3
+
+
+def test_a_rare_label_counts(spark):
+    labelled = spark.createDataFrame([("fr", FR)], "domain string, text string").union(
+        spark.range(2_000_000).selectExpr("'en'", "'a'"))
+    assert M.fit_domains(labelled, ["en", "fr", "xx"])[2].tolist() == [True, True, False]
