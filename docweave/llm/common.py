@@ -15,13 +15,13 @@ from docweave.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 200_000
 
 
-def shared_table(df: DataFrame, label: str) -> DataFrame:
+def shared_table(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet below the cluster's shared checkpoint folder and
     read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/docweave-{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(schema).parquet(path)
 
 

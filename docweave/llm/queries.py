@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, fuzzy_lines, html_text, licenses, mixing, quality, quotes, repeats, simhash, sketches
+from docweave.llm import (
+    centroids, decontaminate, divergence, fuzzy_lines, html_text, licenses, mixing, packing, quality, quotes, repeats, simhash, sketches,
+)
 from docweave.sources.tables import table
 
 QUERIES = {}
@@ -96,3 +99,21 @@ def op9_simhash(spark, sf_dir):
 def op10_repeats(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_divergence", divergence.ORACLE)
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@register("op12_packing")
+def op12_packing(spark, sf_dir):
+    found = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register("op13_centroids", centroids.oracle())
+def op13_centroids(spark, sf_dir):
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
