@@ -19,22 +19,22 @@ import uuid
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.constants import (
+    DOMAIN_PAGE_HEADER,
     DOMAIN_PAGE_SEPARATOR,
     FLUSH_BUFFER_SIZE,
     FLUSH_SIZE_MB,
     MARKDOWN_EXTENSION,
-    PERSISTENCE_STRATEGIES,
     UNKNOWN_DOMAIN,
     URL_HASH_CHARS,
 )
 from docweave.functions.content import is_nonblank
 from docweave.functions.paths import document_path
 from docweave.functions.urls import extract_domain
+from docweave.operators import sinks as K
 from docweave.operators.windows import ordinal_within
 
 #: Pages of a domain that one task scans for size-aware flushes.
@@ -58,14 +58,18 @@ def saves(df: DataFrame, url: str = "url", content: str = "content", ord_col: st
 
 # ------------------------------------------------------------ folder per domain
 
+def _hashed(path):
+    stem = path.substr(F.lit(1), F.length(path) - len(MARKDOWN_EXTENSION))
+    return F.concat(stem, F.lit("_"), F.md5("url").substr(1, URL_HASH_CHARS), F.lit(MARKDOWN_EXTENSION))
+
+
 def page_manifest(saved: DataFrame, base_dir: str = "out", on_collision: str = "last") -> DataFrame:
     """K3: one ``(url, path, size)`` row per save, overwritten ones included.
     ``on_collision="hash"`` (D4) puts 8 hex characters of the URL's md5 before
     the extension, so different URLs never share a file."""
     path = document_path(base_dir, F.col("url"))
     if on_collision == "hash":
-        stem = path.substr(F.lit(1), F.length(path) - len(MARKDOWN_EXTENSION))
-        path = F.concat(stem, F.lit("_"), F.md5("url").substr(1, URL_HASH_CHARS), F.lit(MARKDOWN_EXTENSION))
+        path = _hashed(path)
     elif on_collision != "last":
         raise ValueError(f"Unsupported collision rule: {on_collision}")
     return saved.select("url", path.alias("path"), "size", "ord")
@@ -207,7 +211,8 @@ def domain_blocks(saved: DataFrame) -> DataFrame:
     ``# {url}\\n\\n{content}``, preceded by the separator from the second
     page on.  Concatenating blocks by ``page_no`` gives the document."""
     ordered = domain_page_order(saved)
-    header = F.concat(F.lit("# "), F.col("url"), F.lit("\n\n"), F.col("content"))
+    before, after = DOMAIN_PAGE_HEADER.split("{url}")
+    header = F.concat(F.lit(before), F.col("url"), F.lit(after), F.col("content"))
     block = F.when(F.col("page_no") > 1, F.concat(F.lit(DOMAIN_PAGE_SEPARATOR), header)).otherwise(header)
     return ordered.select("domain", "page_no", "url", "ord", "size", block.alias("block"))
 
@@ -229,116 +234,65 @@ def domain_manifest(saved: DataFrame, out_dir: str = "out") -> DataFrame:
 
 # --------------------------------------------------------------------- writers
 
-def _store(out_dir: str) -> tuple[pafs.FileSystem, str]:
-    """File system and base path of a URI (``hdfs://``, ``s3://``, ``file://``,
-    ...) or of a plain folder, which has to be mounted on every machine."""
-    if "://" in out_dir:
-        return pafs.FileSystem.from_uri(out_dir)
-    return pafs.LocalFileSystem(), out_dir
-
-
-class _NewFile:
-    """A file that appears under its name once it is complete, so a task that
-    runs again writes the same file again."""
-
-    def __init__(self, out_dir: str, rel: str):
-        self.fs, base = _store(out_dir)
-        self.final = f"{base.rstrip('/')}/{rel}"
-        self.fs.create_dir(self.final.rsplit("/", 1)[0], recursive=True)
-        self.tmp = f"{self.final}.{uuid.uuid4().hex}.tmp"
-        self.out = self.fs.open_output_stream(self.tmp)
-
-    def write(self, data: bytes) -> None:
-        self.out.write(data)
-
-    def commit(self) -> None:
-        self.out.close()
-        self.fs.move(self.tmp, self.final)
+def _save(rows: DataFrame, out_dir: str, strategy: str, mode: str) -> DataFrame:
+    """Write rows through the document source; the manifest rows of that commit."""
+    spark = rows.sparkSession
+    spark.dataSource.register(K.DocumentSource)
+    run = uuid.uuid4().hex
+    rows.write.format(K.FORMAT).options(path=out_dir, strategy=strategy, run=run).mode(mode).save()
+    return K.manifest(spark, out_dir, run)
 
 
-def write_folder_documents(docs: DataFrame, out_dir: str) -> DataFrame:
+def write_folder_documents(docs: DataFrame, out_dir: str, mode: str = "append") -> DataFrame:
     """K1 sink: one file per final path (``folder_documents`` output) at
-    ``rel`` below ``out_dir``.  Returns the manifest ``(url, path, size)``."""
-
-    def writer(batches):
-        for pdf in batches:
-            for rel, text in zip(pdf["rel"], pdf["content"]):
-                f = _NewFile(out_dir, rel)
-                f.write(text.encode("utf-8"))
-                f.commit()
-            yield pdf[["url", "path", "size"]]
-
-    return docs.select("url", "path", "size", "content", "rel").mapInPandas(
-        writer, schema="url string, path string, size bigint"
-    )
-
-
-def write_domain_documents(blocks: DataFrame, out_dir: str, part_pages: int = PART_PAGES) -> DataFrame:
-    """K2 sink: ``<domain>.md`` for each domain of ``domain_blocks``.
-
-    Parts of ``part_pages`` pages are written by different tasks below a folder
-    of this run, a batch at a time; their list is committed as a table; then
-    each document is joined from its listed parts by copying, and replaces
-    the one of an earlier run.  Part bounds depend on page numbers alone.
-    Returns the part list ``(domain, part, pages, chars)``.
+    ``rel`` below ``out_dir``.  Written once, now; returns the manifest
+    ``(url, path, size)``, read from the commit."""
+    written = _save(docs.select("rel", "content", "url", "size"), out_dir, "folder_per_domain", mode)
+    named = docs.limit(1).select("path", "rel").first()
+    base = named["path"][: -len(named["rel"])] if named else ""
+    return written.select("url", F.concat(F.lit(base), "rel").alias("path"), "size")
+
+
+def write_domain_documents(blocks: DataFrame, out_dir: str, part_pages: int = PART_PAGES, mode: str = "append") -> DataFrame:
+    """K2 sink: ``<domain>.md`` for each domain of ``domain_blocks``; replaces
+    that of an earlier run.
+
+    A block's byte offset in its document is the sum of the blocks before it, so
+    the parts (``part_pages`` pages) of one domain are written by different
+    tasks, in any order and again after a failure, into one file.  A store that
+    can't write at offsets gets the pages appended in order instead, which
+    copies a domain's parts in the commit.
+    Returns the manifest ``(domain, pages, size)``, a row for a domain and task.
     """
-    spark = blocks.sparkSession
-    run = f"_runs/{uuid.uuid4().hex}"
     part = F.floor((F.col("page_no") - 1) / part_pages).cast("bigint")
-    # a hot domain's parts go to different tasks
-    ranged = blocks.select("domain", part.alias("part"), "page_no", "block")
-    ranged = ranged.repartition("domain", "part").sortWithinPartitions("domain", "part", "page_no")
-
-    def part_name(domain: str, number: int) -> str:
-        return f"{run}/parts/{domain}{MARKDOWN_EXTENSION}.{number:09d}"
-
-    def write_parts(batches):
-        now, f, pages, chars = None, None, 0, 0
-        for pdf in batches:
-            done = []
-            for d, k, b in zip(pdf["domain"], pdf["part"], pdf["block"]):
-                if (d, k) != now:
-                    if f:
-                        f.commit()
-                        done.append((*now, pages, chars))
-                    now, f, pages, chars = (d, k), _NewFile(out_dir, part_name(d, k)), 0, 0
-                f.write(b.encode("utf-8"))
-                pages, chars = pages + 1, chars + len(b)
-            yield pd.DataFrame(done, columns=["domain", "part", "pages", "chars"])
-        if f:
-            f.commit()
-            yield pd.DataFrame([(*now, pages, chars)], columns=["domain", "part", "pages", "chars"])
-
-    def join_parts(batches):
-        for pdf in batches:
-            for d, n in zip(pdf["domain"], pdf["parts"]):
-                f = _NewFile(out_dir, f"{d}{MARKDOWN_EXTENSION}")
-                fs, base = _store(out_dir)
-                for k in range(n):
-                    with fs.open_input_stream(f"{base.rstrip('/')}/{part_name(d, k)}") as part_file:
-                        while data := part_file.read(1 << 20):
-                            f.write(data)
-                f.commit()
-            yield pdf[["domain"]]
-
-    listed = f"{out_dir.rstrip('/')}/{run}/parts.parquet"
-    schema = "domain string, part bigint, pages bigint, chars bigint"
-    ranged.mapInPandas(write_parts, schema).write.parquet(listed)
-    parts = spark.read.schema(schema).parquet(listed)
-    documents = parts.groupBy("domain").agg(F.count(F.lit(1)).alias("parts"))
-    documents.mapInPandas(join_parts, "domain string").write.parquet(f"{out_dir.rstrip('/')}/{run}/documents.parquet")
-    return parts
-
-
-def check_strategy(name: str) -> str:
-    """K5: only the two sink names are accepted (checked before any job)."""
-    if name not in PERSISTENCE_STRATEGIES:
-        raise ValueError(f"Unsupported persistence strategy: {name}")
-    return name
-
-
-def write_documents(saved: DataFrame, out_dir: str, strategy: str, on_collision: str = "last") -> DataFrame:
+    if K.can_place(out_dir):
+        sized = blocks.select("domain", "page_no", F.octet_length("block").cast("bigint").alias("bytes"))
+        placed = ordinal_within(sized, ["domain"], "page_no", "nth", sums={"offset": "bytes"}).select("domain", "page_no", "offset")
+        rows = blocks.join(placed, ["domain", "page_no"]).withColumn("part", part)
+        rows = rows.repartition("domain", "part").sortWithinPartitions("domain", "offset")
+        rows = rows.select("domain", "offset", "block", "url", "size")
+    else:
+        lead = F.when(F.col("page_no") > 1, len(DOMAIN_PAGE_SEPARATOR)).otherwise(0) + F.length("url") + len("# \n\n")
+        rows = blocks.withColumn("content", F.col("block").substr(lead + 1, F.length("block")))
+        rows = rows.repartitionByRange("domain", "page_no").sortWithinPartitions("domain", "page_no")
+        rows = rows.select("domain", "url", "content", "size")
+    written = _save(rows, out_dir, "file_per_domain", mode)
+    domain = F.col("rel").substr(F.lit(1), F.length("rel") - len(MARKDOWN_EXTENSION))
+    return written.select(domain.alias("domain"), "pages", "size")
+
+
+def write_documents(saved: DataFrame, out_dir: str, strategy: str, on_collision: str = "last", mode: str = "append") -> DataFrame:
     """K5: saves through the sink named by ``strategy``; returns its manifest."""
-    if check_strategy(strategy) == "folder_per_domain":
-        return write_folder_documents(folder_documents(saved, out_dir, on_collision), out_dir)
-    return write_domain_documents(domain_blocks(saved), out_dir)
+    if K.check_strategy(strategy) == "folder_per_domain":
+        return write_folder_documents(folder_documents(saved, out_dir, on_collision), out_dir, mode)
+    return write_domain_documents(domain_blocks(saved), out_dir, mode=mode)
+
+
+def stream_rows(saved: DataFrame, strategy: str, on_collision: str = "last") -> DataFrame:
+    """Saves of a stream as rows of the sink: arrival order takes the place of ``ord``."""
+    if K.check_strategy(strategy) == "file_per_domain":
+        return saved.select("domain", "url", "content", "size")
+    path = document_path("", F.col("url"))
+    if on_collision == "hash":
+        path = _hashed(path)
+    return saved.select(path.substr(F.lit(2), F.length(path)).alias("rel"), "content", "url", "size")

@@ -22,19 +22,26 @@ def ordinal_within(
     order_col: str,
     out_col: str = "rn",
     block_bits: int = DEFAULT_BLOCK_BITS,
+    sums: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 1-based position of each row in its ``keys`` group by
-    the (unique within group, integral) ``order_col``."""
+    the (unique within group, integral) ``order_col``.  ``sums`` maps a column
+    to be added to the one whose total over the rows before it is."""
     blk = "__blk"
     with_blk = df.withColumn(blk, F.shiftright(F.col(order_col).cast("bigint"), block_bits))
-    counts = with_blk.groupBy(*keys, blk).agg(F.count(F.lit(1)).alias("__n"))
+    sums = sums or {}
+    totals = [F.sum(c).alias(f"__sum_{out}") for out, c in sums.items()]
+    counts = with_blk.groupBy(*keys, blk).agg(F.count(F.lit(1)).alias("__n"), *totals)
     w_blocks = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, blk, F.coalesce(F.sum("__n").over(w_blocks), F.lit(0)).alias("__off"))
+    earlier = [F.coalesce(F.sum(f"__sum_{out}").over(w_blocks), F.lit(0)).alias(f"__sum_{out}") for out in sums]
+    offsets = counts.select(*keys, blk, F.coalesce(F.sum("__n").over(w_blocks), F.lit(0)).alias("__off"), *earlier)
     w_rows = Window.partitionBy(*keys, blk).orderBy(order_col)
+    before = w_rows.rowsBetween(Window.unboundedPreceding, -1)
+    running = {out: (F.col(f"__sum_{out}") + F.coalesce(F.sum(c).over(before), F.lit(0))).cast("bigint") for out, c in sums.items()}
     return (
         with_blk.join(offsets, [*keys, blk])
-        .withColumn(out_col, (F.col("__off") + F.row_number().over(w_rows)).cast("bigint"))
-        .drop(blk, "__off")
+        .withColumns({out_col: (F.col("__off") + F.row_number().over(w_rows)).cast("bigint"), **running})
+        .drop(blk, "__off", *[f"__sum_{out}" for out in sums])
     )
 
 

@@ -3,18 +3,22 @@ W7, A5, A6, A9) and the union of all documents (U2)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from docweave.constants import VIDEO_ID_PATTERN
 from docweave.functions import content as C
 from docweave.functions import urls as U
 from docweave.operators import assemble as A
+from docweave.operators import sinks as K
 from docweave.operators.windows import first_by_order
 from docweave.plans import sqlfrag as S
 from docweave.operators.crawl import first_capture
 from docweave.plans.q_crawl import _CRAWL_FIX, _CRAWL_SQL, crawl_results
 from docweave.plans.q_functions import transcript_documents
 from docweave.plans.registry import register
+from docweave.session import ensure_checkpoint_dir
 from docweave.sources import fixtures as X
 
 # ------------------------------------------------------------------- dedup
@@ -200,6 +204,38 @@ def domain_manifest(spark, sf):
     return A.domain_manifest(flat_saves(spark, sf))
 
 
+# ------------------------------------------------------------------- sinks
+
+
+def _written(spark, saved, name, strategy):
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    A.write_documents(saved, out, strategy)
+    return K.written(spark, out)
+
+
+@register(
+    "folder_files",
+    f"""WITH {_VSAVES_SQL},
+    m AS (SELECT {S.document_path('out', 'url')} AS path, ord, content FROM vsaves)
+    SELECT substr(path, 5) AS rel, arg_max(content, ord) AS content FROM m GROUP BY path""",
+    ("url_variants", "derived_fetch"),
+)
+def folder_files(spark, sf):
+    """K1 + K5: the files of the folder-per-domain sink, written and read back."""
+    return _written(spark, variant_saves(spark, sf), "folder-files", "folder_per_domain")
+
+
+@register(
+    "domain_files",
+    f"""WITH {_ORDER_SQL}
+    SELECT domain || '.md' AS rel, string_agg({_BLOCK_SQL}, '' ORDER BY page_no) AS content FROM ordered GROUP BY domain""",
+    ("derived_fetch",),
+)
+def domain_files(spark, sf):
+    """K2 + K5: the documents of the file-per-domain sink, written and read back."""
+    return _written(spark, flat_saves(spark, sf), "domain-files", "file_per_domain")
+
+
 # ------------------------------------------------------------------- union
 
 

@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.constants import FLUSH_SIZE_MB
+from docweave.functions.content import html_to_markdown, once
+from docweave.operators import assemble as A
+from docweave.operators import sinks as K
 from docweave.plans import sqlfrag as S
 from docweave.plans.registry import register
 from docweave.sources.fixtures import URL_VARIANT_SUFFIXES
@@ -38,7 +41,7 @@ def stream_dedup(spark, sf):
 
 @register("stream_stats", f"WITH {_DOCS_SQL} SELECT domain, status, count(*) AS pages FROM docs GROUP BY 1, 2")
 def stream_stats(spark, sf):
-    """S3 + S5: running statistics in complete mode through foreachBatch."""
+    """S3: running statistics in update mode through foreachBatch."""
     return ST.stream_stats(ST.read_pages_stream(spark, sf), spark)
 
 
@@ -59,3 +62,35 @@ def stream_flush(spark, sf):
     return tagged.groupBy("domain", "flush_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("size").cast("bigint").alias("size"))
 
 
+
+
+_SAVES_SQL = f"""saves AS (
+    SELECT url, md AS content, page_id AS ord, CASE WHEN {S.domain('url')} = '' THEN 'unknown' ELSE {S.domain('url')} END AS domain
+    FROM (SELECT *, {_MD} AS md FROM pages) t WHERE {S.nonblank('md')})"""
+
+
+def _stream_saves(spark, sf):
+    s = ST.read_pages_stream(spark, sf)
+    return A.saves(s.select("url", once(html_to_markdown(F.col("html"))).alias("content"), F.col("page_id").alias("ord")))
+
+
+@register(
+    "stream_folder_files",
+    f"""WITH {_SAVES_SQL}
+    SELECT substr(path, 5) AS rel, arg_max(content, ord) AS content
+    FROM (SELECT *, {S.document_path('out', 'url')} AS path FROM saves) GROUP BY path""",
+)
+def stream_folder_files(spark, sf):
+    """S5 + K1: a stream written by the folder-per-domain sink, read back."""
+    return K.written(spark, ST.run_to_sink(_stream_saves(spark, sf), spark, "folder-sink", "folder_per_domain"))
+
+
+@register(
+    "stream_domain_files",
+    f"""WITH {_SAVES_SQL}
+    SELECT domain || '.md' AS rel, string_agg('# ' || url || chr(10) || chr(10) || content, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY ord) AS content
+    FROM saves GROUP BY domain""",
+)
+def stream_domain_files(spark, sf):
+    """S5 + K2: a stream appended to domain documents in order of arrival, read back."""
+    return K.written(spark, ST.run_to_sink(_stream_saves(spark, sf), spark, "domain-sink", "file_per_domain"))

@@ -21,6 +21,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from docweave.functions.content import html_to_markdown
 from docweave.functions.urls import extract_domain, normalize_url
+from docweave.operators import sinks as K
+from docweave.operators.assemble import stream_rows
 from docweave.operators.filters import fetch_status
 from docweave.session import ensure_checkpoint_dir
 
@@ -84,6 +86,17 @@ def run_foreach_batch(
     return out
 
 
+def run_to_sink(saved: DataFrame, spark: SparkSession, name: str, strategy: str, location: str | None = None) -> str:
+    """Drain a stream of saves into document sink K1 or K2; returns the
+    folder.  A replayed batch leaves the documents as they are."""
+    spark.dataSource.register(K.DocumentSource)
+    base = location or stream_folder(spark, name)
+    out, ckpt = os.path.join(base, f"{name}-documents"), os.path.join(base, "ckpt")
+    q = stream_rows(saved, strategy).writeStream.format(K.FORMAT).options(path=out, strategy=strategy)
+    q.option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    return out
+
+
 def overwrite_parquet(batch: DataFrame, path: str) -> None:
     batch.write.mode("overwrite").parquet(path)
 
