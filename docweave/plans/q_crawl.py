@@ -88,8 +88,8 @@ def fetch_results(spark, sf):
 
 
 _FIRST_CAPTURE_SQL = f"""cap AS (
-    SELECT key, arg_min(page_id, page_id) AS page_id, arg_min(success, page_id) AS success, arg_min(html, page_id) AS html
-    FROM (SELECT *, {S.normalize_url('url')} AS key FROM derived_fetch) t GROUP BY key)"""
+    SELECT key, page_id, success, html FROM (SELECT *, {S.normalize_url('url')} AS key FROM derived_fetch) t
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY success DESC, page_id) = 1)"""
 
 _FETCH_SQL = f"""{_FIRST_CAPTURE_SQL},
   req AS (SELECT uid, url, {S.normalize_url('url')} AS key FROM url_variants),
@@ -299,6 +299,108 @@ def deep_crawl_stats(spark, sf):
     return ST.deep_crawl_stats(crawl_results(spark, sf))
 
 
+def link_score(url):
+    """Score of a URL for the scored crawl: a fixed fraction from its hash."""
+    return F.conv(F.md5(url).substr(1, 4), 16, 10).cast("int") / F.lit(65536.0)
+
+
+SCORE_BATCH = 2
+#: An item of the fixture reaches at most the seven pages of its tree within depth 2.
+SCORE_ROUNDS = 7
+_SCORE_SQL = "(CAST('0x' || left(md5({0}), 4) AS INTEGER) / 65536.0)"
+
+
+def _rounds_sql() -> str:
+    """Rounds of the scored crawl, written out: frontier f0, visited v0, frontier f1, ..."""
+    s = [f"""fetched AS MATERIALIZED (SELECT {S.normalize_url('url')} AS url, bool_or(success) AS success FROM derived_fetch GROUP BY 1),
+  items AS MATERIALIZED (SELECT *, url AS seed_url, nullif({S.domain('url')}, '') AS domain FROM deep_items),
+  edges AS MATERIALIZED (SELECT DISTINCT {S.normalize_url('src')} AS src, {S.normalize_url('dst')} AS dst FROM derived_links),
+  f0 AS MATERIALIZED (SELECT DISTINCT item_id, {S.normalize_url('seed_url')} AS url, 0 AS depth FROM items WHERE domain IS NOT NULL)"""]
+    for r in range(SCORE_ROUNDS):
+        seen = " UNION ALL ".join(f"SELECT item_id, url, success FROM v{k}" for k in range(r)) or "SELECT item_id, url, false AS success FROM f0 WHERE false"
+        s.append(f"""v{r} AS MATERIALIZED (
+    SELECT item_id, url, depth, success, score, {r} AS round FROM (
+      SELECT t.*, max_pages - spent AS left_, coalesce(sum(success::INT) OVER (PARTITION BY item_id ORDER BY score DESC, depth, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM (
+        SELECT f.item_id, f.url, f.depth, coalesce(x.success, false) AS success, {_SCORE_SQL.format('f.url')} AS score, i.max_pages, coalesce(p.n, 0) AS spent
+        FROM f{r} f JOIN items i ON i.item_id = f.item_id LEFT JOIN fetched x ON x.url = f.url
+        LEFT JOIN (SELECT item_id, count(*) AS n FROM ({seen}) WHERE success GROUP BY 1) p ON p.item_id = f.item_id
+        WHERE i.max_pages > coalesce(p.n, 0)
+        QUALIFY row_number() OVER (PARTITION BY f.item_id ORDER BY score DESC, f.depth, f.url) <= {SCORE_BATCH}) t)
+    WHERE before < left_)""")
+        s.append(f"""f{r + 1} AS MATERIALIZED (
+    SELECT item_id, url, min(depth) AS depth FROM (
+      SELECT item_id, url, depth FROM f{r}
+      UNION ALL
+      SELECT w.item_id, e.dst, w.depth + 1 FROM v{r} w JOIN edges e ON e.src = w.url JOIN items i ON i.item_id = w.item_id
+      WHERE w.success AND w.depth + 1 <= i.max_depth AND {_followed_sql('e.dst')})
+    WHERE (item_id, url) NOT IN (SELECT (item_id, url) FROM ({seen} UNION ALL SELECT item_id, url, success FROM v{r}))
+    GROUP BY 1, 2)""")
+    visited = " UNION ALL ".join(f"SELECT * FROM v{r}" for r in range(SCORE_ROUNDS))
+    return ",\n  ".join(s) + f",\n  visited AS ({visited})"
+
+
+def _followed_sql(u: str) -> str:
+    """Item filters (alias ``i``) on a link."""
+    skip = _SKIP_SQL.replace("url", u).replace("paths_to_skip_regex", "i.paths_to_skip_regex")
+    return f"""{skip} AND (CASE WHEN i.include_subdomains THEN coalesce(strpos({u}, i.domain) > 0, false)
+           ELSE coalesce(regexp_matches({u}, '^https?://(www\\.)?' || replace(i.domain, '.', '\\.')), false) END)
+      AND {_external_sql(u, 'i.seed_url', 'i.include_external')}"""
+
+
+_SCORED_SQL = _rounds_sql()
+
+
+def scored_crawl(spark, sf):
+    items, edges, fetch = crawl_inputs(spark, sf)
+    return G.deep_crawl(items, edges, fetch, score=link_score, batch=SCORE_BATCH)
+
+
+@register(
+    "deep_crawl_scored",
+    f"WITH {_SCORED_SQL} SELECT item_id, url, CAST(depth AS INTEGER) AS depth, success, score, CAST(round AS INTEGER) AS round FROM visited",
+    _CRAWL_FIX,
+)
+def deep_crawl_scored(spark, sf):
+    """G1 + X3 with a caller's score: two pages of each item a round, best first."""
+    return scored_crawl(spark, sf)
+
+
+@register(
+    "deep_crawl_scored_stats",
+    f"""WITH {_SCORED_SQL}, {_FIRST_CAPTURE_SQL},
+    results AS (SELECT v.*, CASE WHEN NOT v.success THEN 'failed' WHEN NOT {S.nonblank(S.html_to_markdown('cap.html'))} THEN 'skipped' ELSE 'success' END AS status
+                FROM visited v LEFT JOIN cap ON cap.key = v.url)
+    SELECT item_id, count(*) AS total_pages, CAST(count_if(status = 'success') AS BIGINT) AS success,
+      CAST(count_if(status = 'failed') AS BIGINT) AS failed, CAST(count_if(status = 'skipped') AS BIGINT) AS skipped,
+      CAST(coalesce(max(depth) FILTER (WHERE status = 'success'), 0) AS BIGINT) AS max_depth_reached,
+      round(coalesce(avg(score) FILTER (WHERE status = 'success'), 0.0), 9) AS avg_score
+    FROM results GROUP BY item_id""",
+    _CRAWL_FIX,
+)
+def deep_crawl_scored_stats(spark, sf):
+    """A2 over the scored crawl: the mean score is that of real links."""
+    cap = G.first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "nonblank")
+    results = scored_crawl(spark, sf).join(cap, "url", "left").withColumn("status", G.capture_status(F.col("success")))
+    return ST.deep_crawl_stats(results).withColumn("avg_score", F.round("avg_score", 9))
+
+
+@register(
+    "page_link_crawl",
+    f"""WITH RECURSIVE h AS (SELECT url AS page_url, {S.hrefs('html')} AS hs FROM derived_pages),
+  l AS (SELECT page_url, {S.normalize_url(_resolve_sql('page_url', 'href'))} AS link FROM (SELECT page_url, unnest(hs) AS href FROM h)),
+  found_links AS (SELECT page_url AS src, link AS dst FROM l WHERE regexp_matches(link, '^(?i)https?://')),
+  {_CRAWL_SQL.replace('derived_links', 'found_links')} SELECT item_id, url, CAST(depth AS INTEGER) AS depth, success FROM crawl""",
+    ("deep_items", "derived_pages", "derived_fetch"),
+)
+def page_link_crawl(spark, sf):
+    """H2 + J3 + G1: a crawl over the links extracted from captured pages."""
+    items, _, fetch = crawl_inputs(spark, sf)
+    links = C.page_links(X.derived_pages(spark, sf))
+    edges = G.canonical_edges(links, "page_url", "link")
+    return G.deep_crawl(items, edges, fetch).select("item_id", "url", F.col("depth").cast("int").alias("depth"), "success")
+
+
 @register(
     "depth_distribution",
     f"""WITH RECURSIVE {_CRAWL_SQL}

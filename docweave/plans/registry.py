@@ -37,6 +37,11 @@ FIXTURE_SQL: dict[str, tuple[list[str], str]] = {
     "derived_links": (["ranked_pages"], """
         SELECT a.url AS src, b.url AS dst FROM ranked_pages a JOIN ranked_pages b
           ON a.host = b.host AND (b.rn = 2 * a.rn OR b.rn = 2 * a.rn + 1 OR (b.rn = 1 AND a.rn > 1))"""),
+    "derived_pages": (["derived_links"], """
+        SELECT page_id, p.url, html || coalesce(a.anchors, '') AS html FROM pages p LEFT JOIN (
+          SELECT src AS url, array_to_string(list_sort(list('<a href="' || CASE WHEN starts_with(regexp_replace(dst, '^https?://[^/?#]+', ''), '/')
+                   THEN regexp_replace(dst, '^https?://[^/?#]+', '') ELSE dst END || '">more</a>')), ' ') AS anchors
+          FROM derived_links GROUP BY src) a ON a.url = p.url"""),
     "derived_seeds": (["ranked_pages"], "SELECT host, url FROM ranked_pages WHERE rn = 1"),
     "derived_fetch": ([], """
         SELECT page_id, url, CASE WHEN page_id % 17 = 0 THEN false ELSE true END AS success,

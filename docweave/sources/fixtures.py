@@ -59,6 +59,18 @@ def derived_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.join(dst, ["host", "trn"]).select("src", "dst")
 
 
+def derived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, html)``: the pages with the links of ``derived_links``
+    (at most three a page) as anchors at the end, absolute and relative ones."""
+    link = F.col("dst")
+    path = F.regexp_replace(link, r"^https?://[^/?#]+", "")
+    href = F.when(path.startswith("/"), path).otherwise(link)
+    anchors = derived_links(spark, sf_dir).groupBy(F.col("src").alias("url")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('<a href="'), href, F.lit('">more</a>')))), " ").alias("anchors"))
+    return pages(spark, sf_dir).join(anchors, "url", "left").select(
+        "page_id", "url", F.concat("html", F.coalesce("anchors", F.lit(""))).alias("html"))
+
+
 def derived_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(host, url)``: the lowest-id page of each host (partial aggregate)."""
     p = pages(spark, sf_dir).select("page_id", "url", raw_host(F.col("url")).alias("host"))
