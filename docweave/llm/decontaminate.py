@@ -85,11 +85,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that no item contaminates."""
-    # a row is known by its id and text: ids may be null or stand for several texts
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    rows = docs.select(key.alias("_row"), F.col(text_col).alias("text"))
-    bad = contamination(rows, items, "_row", "text", **options).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, key.eqNullSafe(F.col("_bad")), "left_anti")
+    # a row is known by its id and text: ids may be null or stand for several texts;
+    # it travels in a struct, so its columns may have any names
+    key = F.struct(F.col(f"row.`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))).alias("text"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("key", key)
+    bad = contamination(rows.select("key", F.col(f"row.`{text_col}`").alias("text")), items, "key", "text", **options)
+    bad = bad.select(F.col("doc_id").alias("bad")).distinct()
+    return rows.join(bad, F.col("key").eqNullSafe(F.col("bad")), "left_anti").select("row.*")
 
 
 ORACLE = r"""

@@ -28,10 +28,15 @@ def register(name, sql=None):
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
 
-def labelled_domains(docs, labels):
-    """``(domain, text)`` of the labelled documents: their language."""
-    known = labels.select(F.col("doc_id").alias("_label_id")).distinct()
-    return docs.select("doc_id", F.col("lang").alias("domain"), "text").join(known, F.col("doc_id") == F.col("_label_id"), "left_semi")
+#: Labelled documents the domains are fitted on; their ids (8 bytes each) are broadcast.
+LABELLED_IDS = 20_000
+
+
+def labelled_domains(docs, labels, ids=LABELLED_IDS):
+    """``(domain, text)`` of the labelled documents, their language: those with
+    the ``ids`` label ids of least hash.  The ids alone are moved, no text is."""
+    known = labels.select(F.col("doc_id").alias("_label_id")).dropna().distinct().orderBy(F.xxhash64("_label_id"), "_label_id").limit(ids)
+    return docs.select("doc_id", F.col("lang").alias("domain"), "text").join(F.broadcast(known), F.col("doc_id") == F.col("_label_id"), "left_semi")
 
 
 @register("op1_mixing")

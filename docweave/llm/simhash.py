@@ -260,10 +260,11 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     # the least id of each text (nulls last), then the least of these in each component
     first = df.select(th.alias("_th"), F.col(id_col).alias("id")).groupBy("_th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("at"))
     least = first.join(fps, "_th").join(named, "fp").groupBy("component").agg(F.min(F.struct("at.none", "at.id", "_th")).alias("kept"))
-    least = shared_table(least.select(F.col("kept.id").alias("_kept_id"), F.col("kept._th").alias("_kept_th")), "kept")
-    rows = df.withColumn("_th", th)
-    rows = rows.join(least, (F.col("_th") == F.col("_kept_th")) & rows[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return rows.dropDuplicates([id_col, "_th"]).drop("_th")
+    least = shared_table(least.select(F.col("kept.id").alias("kept_id"), F.col("kept._th").alias("kept_th")), "kept")
+    # a row travels in a struct, so its columns may have any names
+    rows = df.select(F.struct("*").alias("row"), th.alias("th"), F.col(id_col).alias("id"))
+    rows = rows.join(least, (F.col("th") == F.col("kept_th")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.dropDuplicates(["id", "th"]).select("row.*")
 
 
 def fingerprints_by_text(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
