@@ -28,11 +28,15 @@ VIDEO, FLAT, DEEP = 0, 1, 2
 _REF = ["spec_id", "persistence", *ORDER]
 
 
-def selected_markdown(html, selectors):
-    """H1 + H3 with the selectors of the item; none of them: the body."""
-    cleaned = C.strip_noise(html)
-    source = F.when(F.size(selectors) > 0, cleaned).otherwise(C.body_of(cleaned))
-    return C.to_markdown(select_elements(source, selectors))
+def selected_markdown(pages: DataFrame) -> DataFrame:
+    """H1 + H3: ``(page_id, selectors, content)`` of ``(page_id, selectors, html)``.
+    Pages whose item has selectors go through the selector function, the others
+    are narrowed to the body by built-in functions alone."""
+    chosen = F.coalesce(F.size("selectors") > 0, F.lit(False))
+    cleaned = C.strip_noise(F.col("html"))
+    named = pages.where(chosen).select("page_id", "selectors", C.once(C.to_markdown(select_elements(cleaned, F.col("selectors")))).alias("content"))
+    whole = pages.where(~chosen).select("page_id", "selectors", C.once(C.to_markdown(C.body_of(cleaned))).alias("content"))
+    return named.unionByName(whole)
 
 
 def page_references(items: DataFrame, fetch: DataFrame, edges: DataFrame) -> DataFrame:
@@ -80,8 +84,7 @@ def harvest(items: DataFrame, videos: DataFrame, fetch: DataFrame, edges: DataFr
     refs = page_references(items, fetch, edges).unionByName(video_references(videos), allowMissingColumns=True)
     refs = refs.orderBy("spec_id", *ORDER).withColumn("ord", F.monotonically_increasing_id()).checkpoint(eager=True)
     wanted = refs.where(F.col("phase") != VIDEO).select("page_id", "selectors").distinct()
-    texts = wanted.join(fetch.select("page_id", "html"), "page_id").select(
-        "page_id", "selectors", C.once(selected_markdown(F.col("html"), F.col("selectors"))).alias("content"))
+    texts = selected_markdown(wanted.join(fetch.select("page_id", "html"), "page_id"))
     page_saves = refs.join(texts, ["page_id", "selectors"]).select(*_REF, "ord", "content")
     spoken = transcripts.select("video_id", T.clean_transcript("transcript").alias("text")).where(F.col("text") != "")
     video_saves = refs.where(F.col("phase") == VIDEO).join(spoken, "video_id").select(

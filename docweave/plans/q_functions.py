@@ -312,3 +312,23 @@ def html_select(spark, sf):
 
     p = pages(spark, sf).select("page_id", C.strip_noise(F.col("html")).alias("c"))
     return p.select("page_id", select_elements(F.col("c"), ["h1", "div.ad"]).alias("selected"))
+
+
+_NAV_RE = r"(?is)<nav(?:\s[^>]*)?>.*?</nav\s*>"
+_A_RE = r"(?is)<a\s[^>]*href=[^>]*>.*?</a\s*>"
+_ARTICLE_H1_RE = r"(?is)<article(?:\s[^>]*)?>\s*(<h1(?:\s[^>]*)?>.*?</h1\s*>)"
+
+
+@register(
+    "html_select_path",
+    f"""SELECT page_id, array_to_string(list_concat(
+        regexp_extract_all(array_to_string(regexp_extract_all(c, {S.q(_NAV_RE)}, 0), ''), {S.q(_A_RE)}, 0),
+        regexp_extract_all(c, {S.q(_ARTICLE_H1_RE)}, 1)), chr(10)) AS selected
+    FROM (SELECT page_id, {S.strip_noise('html')} AS c FROM pages) t""",
+)
+def html_select_path(spark, sf):
+    """H1 with paths: links in the navigation, then headings directly in an article."""
+    from docweave.functions.select import select_elements
+
+    p = pages(spark, sf).select("page_id", C.strip_noise(F.col("html")).alias("c"))
+    return p.select("page_id", select_elements(F.col("c"), ["nav li a[href], nav > a[href]", "article > h1"]).alias("selected"))
