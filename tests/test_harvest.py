@@ -40,7 +40,7 @@ def run_of(spark):
         _item(1, 1, "https://oak.test/b/"),           # listed by the sitemap already
         _item(1, 2, "https://oak.test/", deep=True),
         _item(1, 3, "https://oak.test/lost"),          # no capture
-        _item(1, 4, "https://oak.test/c", selectors=["main > p"]),  # not supported: nothing is saved
+        _item(1, 4, "https://oak.test/c", selectors=["main + p"]),  # not supported: nothing is saved
     ], ITEM)
     locs = spark.createDataFrame([("https://oak.test/map.xml", 0, "https://oak.test/b#x"), ("https://oak.test/map.xml", 1, "https://oak.test/a")],
                                  "sitemap_url string, pos int, loc string")
