@@ -36,6 +36,7 @@ from docweave.functions.paths import document_path
 from docweave.functions.urls import extract_domain
 from docweave.operators import sinks as K
 from docweave.operators.windows import ordinal_within
+from docweave.session import ensure_checkpoint_dir
 
 #: Pages of a domain that one task scans for size-aware flushes.
 FLUSH_BLOCK_PAGES = 65536
@@ -135,6 +136,59 @@ def _next_starts(sizes: np.ndarray, buffer_size: int, limit: int) -> np.ndarray:
     return np.minimum(start + buffer_size, np.maximum(full, start + 1))
 
 
+FLUSH_MAP = "domain string, blk bigint, enter bigint, leave bigint, flushes bigint"
+
+
+def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The map of a run of blocks: each start of the first one, followed through all."""
+    pdf = pdf.sort_values(["blk", "enter"])
+    blocks = [b for _, b in pdf.groupby("blk", sort=True)]
+    enter = blocks[0]["enter"].to_numpy()
+    leave, flushes = enter, np.zeros(len(enter), "int64")
+    for b in blocks:
+        at = leave - int(b["enter"].iloc[0])
+        leave, flushes = b["leave"].to_numpy()[at], flushes + b["flushes"].to_numpy()[at]
+    return pd.DataFrame({"domain": pd.Series([pdf["domain"].iloc[0]] * len(enter), dtype=object), "blk": int(pdf["run"].iloc[0]),
+                         "enter": enter, "leave": leave, "flushes": flushes})
+
+
+def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The start and flush id that hold at each block of a run, from those of the run."""
+    pdf = pdf.sort_values(["blk", "enter"])
+    start, fid, rows = int(pdf["start"].iloc[0]), int(pdf["start_id"].iloc[0]), []
+    for blk, b in pdf.groupby("blk", sort=True):
+        rows.append((pdf["domain"].iloc[0], blk, start, fid))
+        at = start - int(b["enter"].iloc[0])
+        start, fid = int(b["leave"].iloc[at]), fid + int(b["flushes"].iloc[at])
+    return pd.DataFrame(rows, columns=["domain", "blk", "enter", "first_id"])
+
+
+def _enters(maps: DataFrame, fan: int) -> DataFrame:
+    """``(domain, blk, enter, first_id)``: the start that holds at each block.
+
+    Composing maps is associative, so ``fan`` blocks at a time become one map of
+    a longer run until a domain is one run; then starts are handed down again.
+    A task sees the maps of ``fan`` blocks, never those of a domain.  Each level
+    is checkpointed: it is read on the way up and on the way down.
+    """
+    ensure_checkpoint_dir(maps.sparkSession)
+    levels = [maps.checkpoint()]
+    last = levels[0].agg(F.max("blk")).first()[0] or 0
+    run = F.expr(f"blk div {fan}")
+    while last >= fan:
+        levels.append(levels[-1].withColumn("run", run).groupBy("domain", "run").applyInPandas(_compose, FLUSH_MAP).checkpoint())
+        last //= fan
+    found = None
+    for level in reversed(levels):
+        rows = level.withColumn("run", run)
+        if found is None:
+            rows = rows.withColumns({"start": F.lit(1).cast("bigint"), "start_id": F.lit(0).cast("bigint")})
+        else:
+            rows = rows.join(found.toDF("domain", "run", "start", "start_id"), ["domain", "run"])
+        found = rows.groupBy("domain", "run").applyInPandas(_follow, "domain string, blk bigint, enter bigint, first_id bigint")
+    return found
+
+
 def sized_flush_ids(pages: DataFrame, buffer_size: int, limit: int, block_pages: int = FLUSH_BLOCK_PAGES) -> DataFrame:
     """``(domain, page_no, flush_id)`` with both limits, in three steps that
     never bring the pages of a domain together.
@@ -142,7 +196,7 @@ def sized_flush_ids(pages: DataFrame, buffer_size: int, limit: int, block_pages:
     A flush open at the start of a page block began at most ``buffer_size - 1``
     pages before it.  Every block, with that many pages of the block before,
     maps each possible start to the start it leaves behind and the number of
-    flushes it ends; the small maps are chained per domain; each block then
+    flushes it ends; the small maps are composed in a tree; each block then
     numbers its pages from the start that holds.
     """
     width = max(block_pages, buffer_size)
@@ -166,17 +220,6 @@ def sized_flush_ids(pages: DataFrame, buffer_size: int, limit: int, block_pages:
         return pd.DataFrame({"domain": pd.Series([domain] * k, dtype=object), "blk": blk, "enter": np.arange(k) + first,
                              "leave": np.array(leave[:k]) + first, "flushes": ended[:k]})
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        step = {(b, e): (l, f) for b, e, l, f in zip(pdf["blk"], pdf["enter"], pdf["leave"], pdf["flushes"])}
-        rows, start, fid = [], 1, 0
-        for b in sorted(set(pdf["blk"])):
-            rows.append((b, start, fid))
-            start, ended = step[b, start]
-            fid += ended
-        out = pd.DataFrame(rows, columns=["blk", "enter", "first_id"])
-        out.insert(0, "domain", pd.Series([pdf["domain"].iloc[0]] * len(out), dtype=object))
-        return out
-
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("page_no")
         blk, page = int(pdf["blk"].iloc[0]), pdf["page_no"].to_numpy()
@@ -190,8 +233,8 @@ def sized_flush_ids(pages: DataFrame, buffer_size: int, limit: int, block_pages:
         return pd.DataFrame({"domain": pd.Series([pdf["domain"].iloc[0]] * int(keep.sum()), dtype=object), "page_no": page[keep], "flush_id": ids[keep]})
 
     maps = spread.groupBy("domain", "blk").applyInPandas(
-        block_map, "domain string, blk bigint, enter bigint, leave bigint, flushes bigint")
-    enters = maps.groupBy("domain").applyInPandas(chain, "domain string, blk bigint, enter bigint, first_id bigint")
+        block_map, FLUSH_MAP)
+    enters = _enters(maps, max(2, width // buffer_size))
     return spread.join(enters, ["domain", "blk"]).groupBy("domain", "blk").applyInPandas(
         number, "domain string, page_no bigint, flush_id bigint")
 
@@ -267,7 +310,7 @@ def write_domain_documents(blocks: DataFrame, out_dir: str, part_pages: int = PA
     part = F.floor((F.col("page_no") - 1) / part_pages).cast("bigint")
     if K.can_place(out_dir):
         sized = blocks.select("domain", "page_no", F.octet_length("block").cast("bigint").alias("bytes"))
-        placed = ordinal_within(sized, ["domain"], "page_no", "nth", sums={"offset": "bytes"}).select("domain", "page_no", "offset")
+        placed = ordinal_within(sized, ["domain"], "page_no", "nth", sums={"offset": "bytes"}, dense=True).select("domain", "page_no", "offset")
         rows = blocks.join(placed, ["domain", "page_no"]).withColumn("part", part)
         rows = rows.repartition("domain", "part").sortWithinPartitions("domain", "offset")
         rows = rows.select("domain", "offset", "block", "url", "size")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.operators.windows import ordinal_by_range
+
 
 def _count_if(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
@@ -51,13 +53,13 @@ def depth_distribution(results: DataFrame) -> DataFrame:
 
 def run_urls(results: DataFrame) -> DataFrame:
     """A4 (row form): ``(item_id, position, url)`` of every reported page in
-    ``(depth, url)`` order.  Positions are counted within a depth and moved by
-    the pages of the depths before, so no item is sorted as a whole."""
+    ``(depth, url)`` order.  Positions are counted within a depth, a large one
+    range by range, and moved by the pages of the depths before, so neither an
+    item nor a depth of it is sorted as a whole."""
     sizes = results.groupBy("item_id", "depth").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("item_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("item_id", "depth", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("item_id", "depth").orderBy("url"))
-    placed = results.select("item_id", "depth", "url", place.alias("place"))
+    placed = ordinal_by_range(results.select("item_id", "depth", "url"), ["item_id", "depth"], "url", "place")
     return placed.join(offsets, ["item_id", "depth"]).select(
         "item_id", (F.col("before") + F.col("place")).cast("bigint").alias("position"), "url")
 

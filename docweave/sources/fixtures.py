@@ -43,7 +43,7 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, host, url, rn)``, ``rn`` = rank of the page in its host by id."""
     p = pages(spark, sf_dir).select("page_id", "url", raw_host(F.col("url")).alias("host"))
-    return ordinal_within(p, ["host"], "page_id", "rn")
+    return ordinal_within(p, ["host"], "page_id", "rn", dense=True)
 
 
 def derived_links(spark: SparkSession, sf_dir: str) -> DataFrame:
