@@ -12,18 +12,17 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from docweave.functions.content import html_to_markdown
 from docweave.functions.urls import extract_domain, normalize_url
 from docweave.operators import sinks as K
-from docweave.operators.assemble import stream_rows
+from docweave.operators.assemble import FLUSH_BLOCK_PAGES, sized_flush_ids, stream_rows
 from docweave.operators.filters import fetch_status
+from docweave.operators.windows import ordinal_within
 from docweave.session import ensure_checkpoint_dir
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
@@ -121,38 +120,79 @@ def stream_dedup(stream: DataFrame, time_col: str | None = None, delay: str = "1
     return keyed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["key"])
 
 
-FLUSH_STATE = "count long, size long, flush_id long"
+FLUSH_PAGE = "domain string, ord long, size long"
 FLUSH_OUT = "domain string, ord long, size long, flush_id long"
+FLUSH_OPEN = "domain string, flush_id long, pages long, size long"
 
 
-def flush_assigner(buffer_size: int, size_limit: int):
-    """S4 state function: per domain, keep (pages in buffer, characters in
-    buffer, current flush id); every page is tagged with the flush it belongs
-    to.  Only counters live in state; page content never enters it."""
+def carried_flushes(tagged: DataFrame, opened: DataFrame, buffer_size: int, size_limit: int) -> DataFrame:
+    """The open flush of each domain after a micro-batch: that of its last page,
+    or the next one, empty, where that page filled it."""
+    own = tagged.groupBy("domain", "flush_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("size").alias("size"))
+    every = own.unionByName(opened).groupBy("domain", "flush_id").agg(F.sum("pages").alias("pages"), F.sum("size").alias("size"))
+    last = every.groupBy("domain").agg(F.max_by(F.struct("flush_id", "pages", "size"), "flush_id").alias("f")).select("domain", "f.*")
+    full = (F.col("pages") >= buffer_size) | (F.col("size") >= size_limit)
+    return last.select(
+        "domain", F.when(full, F.col("flush_id") + 1).otherwise(F.col("flush_id")).alias("flush_id"),
+        *[F.when(full, 0).otherwise(F.col(c)).cast("bigint").alias(c) for c in ("pages", "size")])
 
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        count, size, fid = state.get if state.exists else (0, 0, 0)
-        pdf = pd.concat(list(batches)).sort_values("ord")
-        ids = []
-        for s in pdf["size"].tolist():
-            ids.append(fid)
-            count += 1
-            size += int(s)
-            if count >= buffer_size or size >= size_limit:
-                fid, count, size = fid + 1, 0, 0
-        state.update((count, size, fid))
-        yield pd.DataFrame({"domain": key[0], "ord": pdf["ord"].to_numpy(), "size": pdf["size"].to_numpy(), "flush_id": ids})
 
-    return fn
+def continue_flushes(
+    pages: DataFrame, opened: DataFrame, buffer_size: int, size_limit: int, block_pages: int = FLUSH_BLOCK_PAGES
+) -> DataFrame:
+    """``(domain, ord, size, flush_id)`` of new pages, after the open flushes of earlier ones.
+
+    An open flush of n pages goes before the new pages as n places, of which the
+    first has its whole size and the others none; so :func:`sized_flush_ids`
+    continues it, and a domain's pages spread over its blocks.
+    """
+    placed = ordinal_within(pages, ["domain"], "ord", "nth").join(opened.toDF("domain", "first_id", "held", "held_size"), "domain", "left")
+    held = F.coalesce("held", F.lit(0))
+    new = placed.select("domain", "ord", "size", (F.col("nth") + held).alias("page_no"), F.coalesce("first_id", F.lit(0)).alias("first_id"))
+    before = opened.join(pages.select("domain").distinct(), "domain", "left_semi").where("pages > 0").select(
+        "domain", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("pages"))).alias("page_no"), "size")
+    before = before.select("domain", "page_no", F.when(F.col("page_no") == 1, F.col("size")).otherwise(0).cast("bigint").alias("size"))
+    ids = sized_flush_ids(before.unionByName(new.select("domain", "page_no", "size")), buffer_size, size_limit, block_pages)
+    return new.join(ids, ["domain", "page_no"]).select(
+        "domain", "ord", "size", (F.col("first_id") + F.col("flush_id")).cast("bigint").alias("flush_id"))
+
+
+def flush_stream(
+    pages: DataFrame, spark: SparkSession, buffer_size: int, size_limit: int, location: str | None = None,
+    block_pages: int = FLUSH_BLOCK_PAGES,
+) -> DataFrame:
+    """S4 over a stream of ``(domain, ord, size)``; arrival is by micro-batch, then ``ord``.
+
+    Each micro-batch is a batch job that starts from the open flushes the one
+    before it left (three numbers a domain; page content is never held), so a hot
+    domain is no single state key: its pages are cut into blocks.  Pages, tags
+    and open flushes are written per batch id and overwritten when a batch is
+    replayed, always from the state of the batch before, so ids stay the same.
+    """
+    base = location or stream_folder(spark, "flush")
+    out, state = os.path.join(base, "out"), os.path.join(base, "open")
+    none = spark.createDataFrame([], FLUSH_OPEN)
+    overwrite_parquet(none, os.path.join(state, "batch=-1"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        here = f"batch={batch_id}"
+        overwrite_parquet(batch.select("domain", "ord", "size"), os.path.join(base, "pages", here))
+        arrived = spark.read.schema(FLUSH_PAGE).parquet(os.path.join(base, "pages", here))
+        opened = spark.read.schema(FLUSH_OPEN).parquet(os.path.join(state, f"batch={batch_id - 1}"))
+        overwrite_parquet(continue_flushes(arrived, opened, buffer_size, size_limit, block_pages), os.path.join(out, here))
+        tagged = spark.read.schema(FLUSH_OUT).parquet(os.path.join(out, here))
+        overwrite_parquet(carried_flushes(tagged, opened, buffer_size, size_limit), os.path.join(state, here))
+
+    q = pages.writeStream.foreachBatch(each).option("checkpointLocation", os.path.join(base, "ckpt"))
+    q.trigger(availableNow=True).start().awaitTermination()
+    # an empty part, for a stream on which nothing has arrived
+    overwrite_parquet(spark.createDataFrame([], FLUSH_OUT), os.path.join(out, "batch=-1"))
+    return spark.read.schema(FLUSH_OUT).parquet(out).select("domain", "ord", "size", "flush_id")
 
 
-def stream_flush(stream: DataFrame, spark: SparkSession, buffer_size: int, size_limit: int) -> DataFrame:
-    """Buffered per-domain flushing on a stream.  Returns the tagged pages;
-    the final flush (K6) is simply the last, possibly partial, flush id of
+def stream_flush(stream: DataFrame, spark: SparkSession, buffer_size: int, size_limit: int, location: str | None = None) -> DataFrame:
+    """Buffered per-domain flushing on a stream of pages.  Returns the tagged
+    pages; the final flush (K6) is simply the last, possibly partial, flush id of
     each domain, so no state needs to be read back."""
     docs = page_documents(stream).where(F.col("status") == "success")
-    keyed = docs.select("domain", F.col("page_id").alias("ord"), "size")
-    tagged = keyed.groupBy("domain").applyInPandasWithState(
-        flush_assigner(buffer_size, size_limit), FLUSH_OUT, FLUSH_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return run_to_parquet(tagged, spark, "flush")
+    return flush_stream(docs.select("domain", F.col("page_id").alias("ord"), "size"), spark, buffer_size, size_limit, location)
