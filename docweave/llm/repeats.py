@@ -23,8 +23,9 @@ all that a string of ``length`` bytes through the anchor can touch.
 Repeats longer than a context come out as overlapping groups, one for each
 anchor.  Edge cases: null texts are empty; texts shorter than ``length`` have
 no repeats; repeated rows are occurrences of their own; a null id is read as
-an id made from the text; ids are taken as unique but for repeated rows; an
-empty table gives an empty result; other columns are not read.
+an id made from the text; a row is known by its id and the hash of its text
+(``uid``, ``th``), so several texts may share an id; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ SEED_BYTES = 64
 BUCKET_ROWS = 32_768
 SEGMENT = 1 << 20
 INDEX_BITS = 21
-ROWS = "uid long, a long, c long, pos long, l int, r int"
+ROWS = "uid long, th long, a long, c long, pos long, l int, r int"
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xBF58476D1CE4E5B9
@@ -171,31 +172,35 @@ def repeat_groups(contexts: list[bytes], lefts: list[int], length: int, lo: int,
                 yield e, depth, group
 
 
+def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return with_uid(df, id_col, text_col).withColumn("th", F.xxhash64("text"))
+
+
 def suffixes(docs: DataFrame, length: int) -> DataFrame:
-    """``(uid, a, c, pos, l, r)``: anchor, context hash, place and context extents."""
+    """``(uid, th, a, c, pos, l, r)``: anchor, context hash, place and context extents."""
     reach = length - SEED_BYTES
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = {n: [] for n in ("uid", "a", "c", "pos", "l", "r")}
-            for uid, text in zip(f["uid"].tolist(), f["text"]):
+            out = {n: [] for n in ("uid", "th", "a", "c", "pos", "l", "r")}
+            for uid, th, text in zip(f["uid"].tolist(), f["th"].tolist(), f["text"]):
                 raw = utf8(text)
                 pos, a = anchors(raw, length)
                 if not len(pos):
                     continue
                 l, r = np.minimum(pos, reach), np.minimum(len(raw) - pos, length)
                 c = [xxhash.xxh64_intdigest(raw[p - x:p + y], x) for p, x, y in zip(pos.tolist(), l.tolist(), r.tolist())]
-                for name, value in zip(out, (np.full(len(pos), uid), a, np.array(c, np.uint64).view(np.int64), pos, l, r)):
+                for name, value in zip(out, (np.full(len(pos), uid), np.full(len(pos), th), a, np.array(c, np.uint64).view(np.int64), pos, l, r)):
                     out[name].append(value)
             if out["uid"]:
                 yield pd.DataFrame({n: np.concatenate(v) for n, v in out.items()})
 
-    return docs.select("uid", "text").mapInPandas(run, ROWS)
+    return docs.select("uid", "th", "text").mapInPandas(run, ROWS)
 
 
 def _contexts(need: DataFrame, docs: DataFrame) -> DataFrame:
     """Context bytes of the class representatives, cut from their texts."""
-    wanted = need.groupBy("uid").agg(F.collect_list(F.struct("a", "c", "pos", "l", "r")).alias("wanted"))
+    wanted = need.groupBy("uid", "th").agg(F.collect_list(F.struct("a", "c", "pos", "l", "r")).alias("wanted"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -208,7 +213,7 @@ def _contexts(need: DataFrame, docs: DataFrame) -> DataFrame:
                     rows = []
             yield pd.DataFrame(rows, columns=["a", "c", "ctx", "l"])
 
-    cut = docs.join(wanted, "uid").select("text", "wanted").mapInPandas(run, "a long, c long, ctx binary, l int")
+    cut = docs.join(wanted, ["uid", "th"]).select("text", "wanted").mapInPandas(run, "a long, c long, ctx binary, l int")
     return cut.dropDuplicates(["a", "c"])  # a repeated row gives its contexts again
 
 
@@ -274,12 +279,12 @@ def _indexed(df: DataFrame, id_col: str, text_col: str, length: int, members: bo
     groups, and the contexts of the buckets that have to be scanned: all with
     several classes for ``members``; for spans those with a class of one
     occurrence, as the others are covered by their own groups."""
-    docs = with_uid(df, id_col, text_col)
+    docs = _docs(df, id_col, text_col)
     rows = suffixes(docs, length)
     shared = shared_table(rows.groupBy("a").count().where("count > 1").select("a"), "anchors")
     dup = shared_table(rows.join(shared, "a", "left_semi"), "suffixes")
     classes = shared_table(dup.groupBy("a", "c").agg(
-        F.count("*").alias("n"), F.min(F.struct("uid", "pos", "l", "r")).alias("at")), "classes")
+        F.count("*").alias("n"), F.min(F.struct("uid", "th", "pos", "l", "r")).alias("at")), "classes")
     buckets = classes.groupBy("a").agg(F.count("*").alias("k"), F.min("n").alias("least"))
     buckets = buckets.where("k > 1" if members else "k > 1 AND least = 1").select("a")
     buckets = shared_table(buckets, "buckets")
@@ -291,23 +296,23 @@ def _indexed(df: DataFrame, id_col: str, text_col: str, length: int, members: bo
 
 def repeat_occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``(repeat_id, uid, start, length)``: every occurrence of every maximal
+    """``(repeat_id, uid, th, start, length)``: every occurrence of every maximal
     repeat group of ``length`` bytes or more (bytes of the UTF-8 text)."""
     dup, whole, ctx = _indexed(df, id_col, text_col, length, True)
     groups = shared_table(whole.unionByName(_bucket_groups(ctx, length, bucket_rows, True)), "groups")
-    return groups.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(
-        "repeat_id", "uid", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
+    return groups.join(dup.select("a", "c", "uid", "th", "pos"), ["a", "c"]).select(
+        "repeat_id", "uid", "th", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
 
 
 def repeat_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``(uid, start, length)``: for each suffix the union of the groups it is a
+    """``(uid, th, start, length)``: for each suffix the union of the groups it is a
     member of (all of them hold its anchor, so the union is one span)."""
     dup, whole, ctx = _indexed(df, id_col, text_col, length, False)
     groups = whole.unionByName(_bucket_groups(ctx, length, bucket_rows, False))
     extents = shared_table(groups.groupBy("a", "c").agg(F.max("e").alias("e"), F.max("d").alias("d")), "extents")
-    return extents.join(dup.select("a", "c", "uid", "pos"), ["a", "c"]).select(
-        "uid", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
+    return extents.join(dup.select("a", "c", "uid", "th", "pos"), ["a", "c"]).select(
+        "uid", "th", (F.col("pos") - F.col("e")).alias("start"), (F.col("e") + F.col("d")).alias("length"))
 
 
 def merge_spans(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
@@ -323,9 +328,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Each row's bytes without its repeats: ``(doc_id, n_bytes, n_removed,
     n_spans, spans array<struct<start, stop>>, kept binary)``."""
-    docs = with_uid(df, id_col, text_col)
+    docs = _docs(df, id_col, text_col)
     found = repeat_spans(df, id_col, text_col, length, bucket_rows)
-    spans = found.groupBy("uid").agg(F.collect_list(F.struct("start", "length")).alias("found"))
+    spans = found.groupBy("uid", "th").agg(F.collect_list(F.struct("start", "length")).alias("found"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -341,5 +346,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.join(spans, "uid", "left").select("doc_id", "text", "found").mapInPandas(
+    return docs.join(spans, ["uid", "th"], "left").select("doc_id", "text", "found").mapInPandas(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, stop: long>>, kept binary")

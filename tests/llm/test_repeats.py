@@ -52,6 +52,17 @@ def test_repeated_rows_and_null_ids(docs):
     assert sorted((r.doc_id is None, r.n_removed) for r in got) == [(False, len(text))] * 2 + [(True, 0)] * 2
 
 
+@pytest.mark.parametrize("bucket_rows", [R.BUCKET_ROWS, 2])
+def test_different_texts_of_one_id(docs, bucket_rows):
+    rng = random.Random(9)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    p, q = make(419), make(300)
+    texts = [make(90) + p + make(40), make(500) + p, q + make(150) + p, make(260), q, make(30) + q + make(30), None]
+    rows = list(zip([1, 1, 1, 1, 2, None, 1], texts))
+    got = R.remove_repeats(docs(rows), bucket_rows=bucket_rows).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(brute(texts))
+
+
 def test_groups_list_all_occurrences(docs):
     rng = random.Random(5)
     make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
