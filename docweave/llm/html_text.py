@@ -2,12 +2,16 @@
 
 Every page is read into containers and text blocks; menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are
-left out by element, role and class words.  A container is scored by its
+left out by element, role and class words.  Inside an article or main element
+a class that only holds such a word beside others (``share-price``) is no proof:
+that element is left out only if half of its text or more is links.  The text of
+formulas, and of noscript elements inside an article, is text.  A container is scored by its
 share of the page's remaining text, its depth and its name.  The scores are
 votes for its generalised path (tags and classes from the root, digits
 levelled); Spark sums them for each host, and the path with the most votes
 is the host's.  Pages are then read again along the winning path; a page
 without it, or where it holds little, falls back to its own best container.
+Containers on one path belong together, and so do articles side by side.
 
 Edge cases: null html is empty and has an empty text; a null or odd url
 counts for the host ''; repeated rows give repeated results and votes; an
@@ -32,9 +36,10 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 # Element names and class words.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template svg math iframe".split())
+RAW = frozenset("script style textarea title noscript template svg iframe annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-                   "sub sup time tt u var".split())
+                   "sub sup time tt u var math mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle msub msup msubsup munder mover "
+                   "munderover mtable mtr mtd semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
                      "h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -46,6 +51,11 @@ NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "breadcrumb breadcrumbs sidebar footer header masthead banner cookie cookies consent gdpr notice notices notification "
                   "popup modal overlay newsletter subscribe signup comment comments reply replies respond disqus share sharing social "
                   "related recommended widget toolbar pagination pager login alert toast".split())
+#: Words that add nothing to a class word above: a name made of both kinds only is proof enough.
+PLAIN = frozenset("area bar block body bottom box btn button buttons center column container content count entries feed footnote form global "
+                  "group head heading header icon icons image inline inner item items label left link links list main media message mobile "
+                  "outer page panel policy post posts right row section site slot stories tags text title tool top unit video wrap "
+                  "wrapper article articles".split())
 COMMENT = frozenset("comment comments reply replies respond".split())
 LAYOUT = frozenset("has no with without".split())
 NAMED = frozenset("article content post entry story main".split())
@@ -54,15 +64,34 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "depth", "skip", "weight", "named")
+    __slots__ = ("tag", "path", "parent", "depth", "skip", "weight", "named", "within", "doubt", "chars", "linked")
 
     def __init__(self, tag, path, parent, depth, skip, named):
         self.tag, self.path, self.parent, self.depth, self.skip, self.named = tag, path, parent, depth, skip, named
         self.weight = 0.0
+        # inside an article or main element, and the nearest element there whose class is in doubt
+        self.within = tag in ("article", "main") or parent is not None and parent.within
+        self.doubt = parent.doubt if parent is not None else None
+        self.chars = self.linked = 0
+
+
+def _shown(tag: str, parent: Node) -> bool:
+    return tag == "noscript" and parent.within
+
+
+def _of_links(n: Node) -> bool:
+    """Whether an element in doubt around ``n`` consists of links by half or more."""
+    d = n.doubt
+    while d is not None:
+        if 2 * d.linked >= d.chars:
+            return True
+        d = d.parent.doubt
+    return False
 
 
 def _node(tag: str, attrs: str, parent: Node) -> Node:
-    label, skip, named = tag, parent.skip or tag in SKIPPED, tag in ("article", "main")
+    label, skip, named = tag, parent.skip or tag in SKIPPED and not _shown(tag, parent), tag in ("article", "main")
+    doubtful = False
     if attrs and not attrs.isspace():
         got = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
         names = got.get("class", "").split()
@@ -74,10 +103,15 @@ def _node(tag: str, attrs: str, parent: Node) -> Node:
             own = [x.lower() for x in NAME_WORD.findall(n)]
             if tag in ("html", "body") or LAYOUT.intersection(own):
                 continue
-            if not (COMMENT if tag in ("article", "main") else NOISE).isdisjoint(own):
-                skip = True
+            words = COMMENT if tag in ("article", "main") else NOISE
+            if not words.isdisjoint(own):
+                proof = not parent.within or all(x in words or x in PLAIN or x.isdigit() or len(x) == 1 for x in own)
+                skip, doubtful = skip or proof, doubtful or not proof
             named = named or not NAMED.isdisjoint(own)
-    return Node(tag, f"{parent.path}/{label}", parent, parent.depth + 1, skip, named)
+    n = Node(tag, f"{parent.path}/{label}", parent, parent.depth + 1, skip, named)
+    if doubtful:
+        n.doubt = n
+    return n
 
 
 def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]:
@@ -95,6 +129,10 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
             text = " ".join(entities.unescape("".join(held)).split())
             if text and not home.skip:
                 blocks.append((home, text, max(0.0, len(text) - 2.0 * linked)))
+                d = home.doubt
+                while d is not None:
+                    d.chars, d.linked = d.chars + len(text), d.linked + linked
+                    d = d.parent.doubt
         held, linked = [], 0
 
     def start():
@@ -165,7 +203,7 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
                 if stack[i].tag in SAME[tag]:
                     break
         attrs = m[3] or m[6] or ""
-        if tag in RAW:
+        if tag in RAW and not _shown(tag, stack[-1]):
             if not attrs.endswith("/"):
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
                 at = close.end() if close else end
@@ -175,7 +213,7 @@ def page_blocks(source: str) -> tuple[list[Node], list[tuple[Node, str, float]]]
         stack.append(n)
         nodes.append(n)
     flush()
-    return nodes, blocks
+    return nodes, [b for b in blocks if not _of_links(b[0])]
 
 
 def _container(n: Node) -> Node:
@@ -214,7 +252,8 @@ def main_text(source: str, path: str | None) -> str:
     chosen = {id(n) for n, _ in found if n.path == path}
     held = sum(n.weight for n, _ in found if n.path == path)
     if held < 0.2 * best.weight or not chosen:
-        chosen = {id(best)}
+        beside = best.tag == "article"
+        chosen = {id(n) for n, _ in found if n.path == best.path or beside and n.tag == "article" and n.parent is best.parent}
 
     def inside(n):
         while n is not None:

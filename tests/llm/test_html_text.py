@@ -20,6 +20,31 @@ def test_main_text(body, expect):
     assert H.main_text(PAGE.format(body=body), None) == expect
 
 
+@pytest.mark.parametrize("body, expect", [
+    ('<article><p class="share-price">it fell to 12</p><div class="alert-level">level 3 now</div><p class="related-work">others did so</p></article>',
+     "it fell to 12 level 3 now others did so"),
+    ('<article><p>the story</p><div class="related-posts"><p>more</p></div><div class="share-buttons">tell</div><div class="adSlot3">buy</div></article>',
+     "the story"),
+    ('<article><p>the story</p><div class="related-work"><a href=x>one of them</a> <a href=y>two</a></div><p>ends</p></article>', "the story ends"),
+    ('<article class="lead"><p>short part</p></article><article class="rest"><p>the second and much longer part of the page</p></article>',
+     "short part the second and much longer part of the page"),
+    ("<article><p>as <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> here</p><noscript><p>plain</p></noscript></article>",
+     "as a=2 here plain"),
+    ("<noscript>turn scripts on</noscript><article><p>the story</p></article>", "the story"),
+    ('<div class="share-price">up</div><article><p>the story of it</p></article>', "the story of it"),
+])
+def test_words_of_noise_need_a_second_sign_inside_an_article(body, expect):
+    assert H.main_text(PAGE.format(body=body), None) == expect
+
+
+def test_repeated_rows_and_tied_votes(spark):
+    page = '<body><div class="one"><p>{0} of one</p></div><div class="two"><p>{0} of two</p></div></body>'
+    rows = [(1, "https://t.example/1", page.format("text"))] * 2 + [(2, "https://t.example/2", page.format("word"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [sorted((r.page_id, r.text, r.path) for r in H.extract(d).collect()) for d in (df, df.repartition(3, "html"))]
+    assert got[0] == got[1] and got[0][0] == got[0][1] and len(got[0]) == 3
+
+
 def test_broken_markup_is_read():
     for bad in ["<", "<a href='x>never closed", "<div <p>>x", "<script>no end", "</p></div>text", "&amp", "<p>a<table><tr><td>b<td>c"]:
         assert isinstance(H.main_text(bad, None), str)
