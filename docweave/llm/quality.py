@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docweave.llm.common import plain_words, shared_table, small_side, utf8
 
 FIT_ROWS = 20_000
+#: Tasks that read the sample of labelled documents.
+SAMPLE_TASKS = 32
 LIST_WORDS = 2_000
 MIN_DOCS = 5
 MIN_LOG_ODDS = 3.5
@@ -163,14 +165,14 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], id_col: str = "d
     lists that the other half of the sample gave; the model takes the lists
     of the whole sample."""
     known = labels.select(F.col(id_col).alias("_label_id"), *[F.col(t).cast("int").alias(t) for t in targets]).dropna().dropDuplicates(["_label_id"])
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text")).join(known, F.col("_id") == F.col("_label_id"))
-    rows = rows.withColumn("_h", F.xxhash64("text")).select("_h", "text", *targets)
-    n = rows.count()
-    if n > fit_rows:  # thin by hash first, so that the sort is over little more than the sample
-        share = min(1.0, 2.0 * fit_rows / n)
-        rows = rows.where(F.pmod(F.col("_h"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = rows.dropDuplicates(["_h"]).orderBy("_h").limit(fit_rows)
-    sample = shared_table(rows.withColumn("half", F.pmod(F.xxhash64("_h"), F.lit(2)).cast("int")), "labelled")
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
+    # ids and hashes choose the sample; of equal texts the one with the least id gives the label
+    chosen = rows.select("_id", "_h").join(known, F.col("_id") == F.col("_label_id")).groupBy("_h").agg(F.min(F.struct("_id", *targets)).alias("_s"))
+    chosen = shared_table(chosen.select("_h", "_s.*").orderBy("_h").limit(fit_rows), "chosen")
+    # fit_rows narrow rows at most go to every task, so that only the sample's texts are moved, to be spread over tasks
+    sample = rows.join(small_side(chosen, chosen.count()), ["_id", "_h"]).dropDuplicates(["_h"])
+    sample = sample.withColumn("half", F.pmod(F.xxhash64("_h"), F.lit(2)).cast("int")).repartition(SAMPLE_TASKS, "_h")
+    sample = shared_table(sample.select("_h", "text", *targets, "half"), "labelled")
     sizes = {tuple(r)[:-1]: r["count"] for r in sample.groupBy("half", *targets).count().collect()}  # classes
     if any(len({key[k + 1] for key in sizes}) < 2 for k in range(len(targets))):
         return None
@@ -254,8 +256,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_
     narrow = lambda df: df.select(*[c for c in ("_row", "doc_id") if c in df.columns], "_site.host", "_site.path",
                                   F.col("_p")[0].alias("p_quality"), F.col("_p")[1].alias("p_toxic"))
     rows = narrow(scored)
-    if not carry:
-        rows = shared_table(rows, "quality")
+    rows = shared_table(rows, "quality")  # every text is scored once
     good = (F.col("p_quality") * (1 - F.col("p_toxic"))).alias("p")
     return with_sites(rows, site_posteriors(rows.select("host", "path", good)))
 
