@@ -125,7 +125,7 @@ _ORDER_SQL = f"""{_SAVES_SQL},
     ("derived_fetch",),
 )
 def domain_page_order(spark, sf):
-    return A.domain_page_order(flat_saves(spark, sf)).select("domain", "url", "ord", "page_no")
+    return A.domain_page_order(flat_saves(spark, sf).drop("content")).select("domain", "url", "ord", "page_no")
 
 
 FLUSH_BUFFER = 3
@@ -137,7 +137,7 @@ FLUSH_BUFFER = 3
     ("derived_fetch",),
 )
 def flush_batches(spark, sf):
-    b = A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER)
+    b = A.flush_batches(flat_saves(spark, sf).drop("content"), buffer_size=FLUSH_BUFFER)
     return b.select("domain", "url", "ord", "page_no", "flush_id")
 
 
@@ -150,7 +150,7 @@ def flush_batches(spark, sf):
     ("derived_fetch",),
 )
 def flush_manifest(spark, sf):
-    return A.flush_manifest(A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER))
+    return A.flush_manifest(A.flush_batches(flat_saves(spark, sf).drop("content"), buffer_size=FLUSH_BUFFER))
 
 
 SIZED_FLUSH_MB = 0.005
@@ -175,7 +175,7 @@ SIZED_FLUSH_MB = 0.005
 def flush_manifest_sized(spark, sf):
     """A5 with the size limit as well: 3 pages or 0.005 MB (5,242 characters),
     whichever comes first."""
-    b = A.flush_batches(flat_saves(spark, sf), buffer_size=FLUSH_BUFFER, flush_size_mb=SIZED_FLUSH_MB)
+    b = A.flush_batches(flat_saves(spark, sf).drop("content"), buffer_size=FLUSH_BUFFER, flush_size_mb=SIZED_FLUSH_MB)
     return A.flush_manifest(b)
 
 
