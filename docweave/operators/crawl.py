@@ -291,20 +291,23 @@ def canonical_edges(links: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     return links.select(normalize_url(F.col(src)).alias("src"), normalize_url(F.col(dst)).alias("dst")).distinct()
 
 
-def first_capture(fetch):
+def first_capture(fetch, nonblank: bool = True):
     """``(key, page_id, fetched, nonblank)``: the capture that counts for a canonical
     URL, whatever its spelling: the successful one of lowest page id, or the
     lowest failed one.  Both flags are decided where the page is scanned and
     ride in the low bits of the id, so bigints are aggregated and no page text
-    is moved (ids take 61 bits)."""
-    nonblank = is_nonblank(html_to_markdown(F.col("html")))
-    flags = F.when(F.col("success"), 2).otherwise(0) + F.when(nonblank, 1).otherwise(0)
+    is moved (ids take 61 bits).  Without ``nonblank`` no page is read or
+    converted, and that column is absent."""
+    flags = F.when(F.col("success"), 2).otherwise(0)
+    if nonblank:
+        flags = flags + F.when(is_nonblank(html_to_markdown(F.col("html"))), 1).otherwise(0)
     keyed = fetch.select(normalize_url(F.col("url")).alias("key"), (F.shiftleft(F.col("page_id").cast("bigint"), 2) + flags).alias("c"))
     c = F.col("c")
     good = F.min(F.when(c.bitwiseAND(2) != 0, c))
-    return keyed.groupBy("key").agg(F.coalesce(good, F.min(c)).alias("c")).select(
+    first = keyed.groupBy("key").agg(F.coalesce(good, F.min(c)).alias("c")).select(
         "key", F.shiftright(c, 2).alias("page_id"), (c.bitwiseAND(2) != 0).alias("fetched"), (c.bitwiseAND(1) != 0).alias("nonblank")
     )
+    return first if nonblank else first.drop("nonblank")
 
 
 def capture_status(success):

@@ -9,7 +9,9 @@ phases form one ordered table of saves, which the sinks of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import content as C
@@ -53,7 +55,7 @@ def page_references(items: DataFrame, fetch: DataFrame, edges: DataFrame) -> Dat
     deep = reported.join(own, "item_id").select(
         "spec_id", "persistence", F.lit(DEEP).alias("phase"), "pos", "sub", "depth", "url", F.col("url").alias("key"), "selectors"
     )
-    captures = G.first_capture(fetch).select("key", "page_id", "fetched")
+    captures = G.first_capture(fetch, nonblank=False)
     found = flat.unionByName(deep).join(captures, "key").where((F.col("phase") == DEEP) | F.col("fetched"))
     return found.select(*_REF, "page_id", "selectors")
 
@@ -67,7 +69,8 @@ def video_references(videos: DataFrame) -> DataFrame:
     )
 
 
-def harvest(items: DataFrame, videos: DataFrame, fetch: DataFrame, edges: DataFrame, transcripts: DataFrame) -> DataFrame:
+def harvest(items: DataFrame, videos: DataFrame, fetch: DataFrame, edges: DataFrame, transcripts: DataFrame,
+            measure: Callable[[Column], Column] | None = None) -> DataFrame:
     """``(spec_id, persistence, *ORDER, ord, url, content)``: all saves of the
     specs.  ``ord`` is unique and follows (spec_id, :data:`ORDER`).
 
@@ -76,17 +79,26 @@ def harvest(items: DataFrame, videos: DataFrame, fetch: DataFrame, edges: DataFr
     ``transcripts(video_id, transcript)`` joined captions.  References are
     sorted and numbered without any text and written to the checkpoint folder,
     so the numbers hold when a task runs again; every (page, selectors) pair
-    is converted once.
+    is converted once.  With ``measure``, such as a length, ``content`` is what
+    that makes of the text, worked out once a pair, and no text goes to the saves.
     """
+
+    def kept(texts: DataFrame) -> DataFrame:
+        texts = texts.where(C.is_nonblank(F.col("content")))
+        return texts.withColumn("content", measure(F.col("content"))) if measure else texts
+
     ensure_checkpoint_dir(items.sparkSession)
     # read by every phase and crawl level: the specs are parsed and expanded once
     items = items.checkpoint(eager=True)
     refs = page_references(items, fetch, edges).unionByName(video_references(videos), allowMissingColumns=True)
     refs = refs.orderBy("spec_id", *ORDER).withColumn("ord", F.monotonically_increasing_id()).checkpoint(eager=True)
     wanted = refs.where(F.col("phase") != VIDEO).select("page_id", "selectors").distinct()
-    texts = selected_markdown(wanted.join(fetch.select("page_id", "html"), "page_id"))
+    # conversion costs far more than the bytes tell, so the partitions are not merged by size
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pages = fetch.select("page_id", "html").repartition(parts, "page_id")
+    texts = kept(selected_markdown(wanted.join(pages, "page_id")))
     page_saves = refs.join(texts, ["page_id", "selectors"]).select(*_REF, "ord", "content")
     spoken = transcripts.select("video_id", T.clean_transcript("transcript").alias("text")).where(F.col("text") != "")
     video_saves = refs.where(F.col("phase") == VIDEO).join(spoken, "video_id").select(
         *_REF, "ord", T.transcript_markdown(F.col("video_id"), F.col("source"), F.col("text")).alias("content"))
-    return page_saves.unionByName(video_saves).where(C.is_nonblank(F.col("content")))
+    return page_saves.unionByName(kept(video_saves))

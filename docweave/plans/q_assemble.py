@@ -250,7 +250,7 @@ def all_documents_df(spark, sf):
         "success",
     ).where("success").drop("success")
     deep = crawl_results(spark, sf).where(F.col("status") == "success")
-    cap = first_capture(X.derived_fetch(spark, sf)).select(F.col("key").alias("url"), "page_id")
+    cap = first_capture(X.derived_fetch(spark, sf), nonblank=False).select(F.col("key").alias("url"), "page_id")
     html = X.derived_fetch(spark, sf).select("page_id", "html")
     deep = deep.join(cap, "url").join(html, "page_id").select(
         F.lit("deep").alias("phase"), "url", C.html_to_markdown(F.col("html")).alias("content"), F.col("page_id").alias("pos")

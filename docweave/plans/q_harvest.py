@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.constants import UNKNOWN_DOMAIN, VIDEO_ID_PATTERN
+from docweave.functions.content import once
 from docweave.functions.paths import document_path
 from docweave.functions.urls import extract_domain
 from docweave.operators import crawl as G
@@ -19,7 +20,7 @@ from docweave.sources import fixtures as X
 from docweave.sources import spec as SP
 
 
-def harvest_saves(spark, sf):
+def harvest_saves(spark, sf, measure=None):
     """All saves of every spec: expand, de-duplicate, split, fetch or crawl,
     transcripts, one order."""
     items = SP.dedup_items(expanded_items(spark, sf), ["spec_id"])
@@ -27,7 +28,7 @@ def harvest_saves(spark, sf):
     videos = SP.spec_videos(spec, ["spec_id", "persistence"])
     fetch = X.derived_fetch(spark, sf)
     edges = G.canonical_edges(X.derived_links(spark, sf))
-    return R.harvest(items, videos, fetch, edges, transcripts(spark, sf))
+    return R.harvest(items, videos, fetch, edges, transcripts(spark, sf), measure)
 
 
 _DOMAIN = "coalesce(nullif({0}, ''), 'unknown')"
@@ -70,6 +71,10 @@ _HARVEST_SQL = f"""{_ITEMS_SQL}, {_EXPANDED_SQL},
 _HARVEST_FIX = ("derived_seeds", "derived_links", "derived_fetch", "derived_captions")
 
 
+def _size(content):
+    return F.length(content).cast("bigint")
+
+
 def _domain():
     return F.coalesce(F.nullif(extract_domain(F.col("url")), F.lit("")), F.lit(UNKNOWN_DOMAIN))
 
@@ -88,11 +93,14 @@ def _domain():
 def harvest_manifest(spark, sf):
     """What each spec's sink (K5) holds after its run: one row per file with
     its saves and characters; the last save of a path wins (W6), a domain file
-    holds all of its pages."""
-    saves = harvest_saves(spark, sf).select("spec_id", "persistence", "ord", "url", F.length("content").cast("bigint").alias("size"))
+    holds all of its pages.  Many specs save one URL: its path is made once."""
+    saves = harvest_saves(spark, sf, _size).select("spec_id", "persistence", "ord", "url", F.col("content").alias("size"))
+    saves = saves.checkpoint(eager=True)
     merged = F.col("persistence") == "file_per_domain"
     path = F.when(merged, F.concat(F.lit("out/"), _domain(), F.lit(".md"))).otherwise(document_path("out", F.col("url")))
-    files = saves.withColumn("path", path).groupBy("spec_id", "persistence", "path")
+    paths = saves.select("persistence", "url").distinct().withColumn("path", once(path)).toDF("p", "u", "path")
+    named = saves.join(paths, F.col("persistence").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u")))
+    files = named.groupBy("spec_id", "persistence", "path")
     return files.agg(
         F.count(F.lit(1)).alias("saves"), F.sum("size").alias("all"), F.max_by("size", "ord").alias("last"),
         F.min_by("url", "ord").alias("first_url"), F.max_by("url", "ord").alias("last_url"),
@@ -109,6 +117,6 @@ def harvest_manifest(spark, sf):
 )
 def harvest_page_order(spark, sf):
     """W7 over the order of a run: (phase, item, place in the sitemap, depth, url)."""
-    saves = harvest_saves(spark, sf).select(
-        "spec_id", _domain().alias("domain"), "ord", "phase", "url", F.length("content").cast("bigint").alias("size"))
+    saves = harvest_saves(spark, sf, _size).select(
+        "spec_id", _domain().alias("domain"), "ord", "phase", "url", F.col("content").alias("size"))
     return ordinal_within(saves, ["spec_id", "domain"], "ord", "page_no").drop("ord")

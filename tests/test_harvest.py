@@ -111,3 +111,27 @@ def test_stream_dedup_with_arrival_time(spark, tmp_path):
     stream = spark.readStream.schema("url string, at timestamp").parquet(str(tmp_path / "t"))
     out = ST.run_to_parquet(ST.stream_dedup(stream, "at", "1 hour").select("key"), spark, "dedup", location=str(tmp_path / "o"))
     assert sorted(r.key for r in out.collect()) == ["http://a/x", "http://a/y"]
+
+
+def test_references_read_no_text_and_saves_may_carry_a_measure(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def page(i):
+        made.add(1)
+        return f"<body><p>text {'x' * i}</p></body>"
+
+    items = spark.createDataFrame([_item(1, 0, "https://oak.test/a"), _item(2, 0, "https://oak.test/a/"), _item(2, 1, "https://oak.test/", deep=True)], ITEM)
+    items = items.withColumn("sub", F.lit(0).cast("bigint"))
+    rows = spark.createDataFrame([(0, "https://oak.test/", True), (1, "https://oak.test/a", True), (2, "https://oak.test/z", False)],
+                                 "page_id long, url string, success boolean")
+    fetch = rows.withColumn("html", page("page_id"))
+    edges = canonical_edges(spark.createDataFrame([("https://oak.test/", "https://oak.test/a")], "src string, dst string"))
+    refs = R.page_references(items, fetch, edges).collect()
+    assert len(refs) == 4 and made.value == 0
+    videos = spark.createDataFrame([], "spec_id int, persistence string, pos int, url string")
+    talk = spark.createDataFrame([], "video_id string, transcript string")
+    texts = R.harvest(items, videos, fetch, edges, talk).collect()
+    sizes = R.harvest(items, videos, fetch, edges, talk, F.length).collect()
+    key = lambda r: (r.spec_id, r.phase, r.url)
+    assert sorted((*key(r), len(r.content)) for r in texts) == sorted((*key(r), r.content) for r in sizes) and len(sizes) == 4
