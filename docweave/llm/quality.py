@@ -184,7 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], id_col: str = "d
         for f in frames:
             for h in (0, 1):
                 own = f[f["half"] == h]
-                yield pd.DataFrame({"x": list(blank[h].features(own["text"])), **{t: own[t].to_numpy() for t in targets}})
+                if len(own):  # an empty column would have no list type
+                    x = pd.Series(list(blank[h].features(own["text"])), dtype=object)
+                    yield pd.DataFrame({"x": x, **{t: own[t].to_numpy() for t in targets}})
 
     got = sample.mapInPandas(run, "x array<double>, " + ", ".join(f"{t} int" for t in targets)).toPandas()  # fit_rows at most
     x = np.array(got["x"].tolist())
