@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.llm.common import plain_words, shared_table, small_side, utf8
+from docweave.llm.common import passing_tables, plain_words, shared_table, small_side, utf8
 
 FIT_ROWS = 20_000
 #: Tasks that read the sample of labelled documents.
@@ -251,14 +251,15 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_
              carry: bool = False, **options) -> DataFrame:
     """Each row's ``p_quality, p_toxic, host_rate, path_rate, global_rate,
     posterior, keep`` beside its id, or beside all of its columns (``carry``)."""
-    model = fit(docs, labels, ["quality", "toxic"], id_col, text_col, **options)
+    with passing_tables(docs.sparkSession):
+        model = fit(docs, labels, ["quality", "toxic"], id_col, text_col, **options)
     site = F.struct(host.cast("string").alias("host"), path.cast("string").alias("path"))
     scored = docs.select(*([F.struct("*").alias("_row")] if carry else [F.col(id_col).alias("doc_id")]), site.alias("_site"),
                          probabilities(F.col(text_col), model, 2).alias("_p"))
     narrow = lambda df: df.select(*[c for c in ("_row", "doc_id") if c in df.columns], "_site.host", "_site.path",
                                   F.col("_p")[0].alias("p_quality"), F.col("_p")[1].alias("p_toxic"))
     rows = narrow(scored)
-    rows = shared_table(rows, "quality")  # every text is scored once
+    rows = shared_table(rows, "quality", "zstd")  # every text is scored once
     good = (F.col("p_quality") * (1 - F.col("p_toxic"))).alias("p")
     return with_sites(rows, site_posteriors(rows.select("host", "path", good)))
 

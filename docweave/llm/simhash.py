@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.llm.common import run_starts, shared_table, sorted_runs, texts, union_all, utf8
+from docweave.llm.common import passing_tables, run_starts, shared_table, sorted_runs, staying_table, texts, union_all, utf8
 from docweave.llm.graph import components
 
 BITS = 64
@@ -252,19 +252,20 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     least id (a null id only if there is no other), ties by text hash.  A row is
     known by its id and text: one id may stand for several texts."""
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    fps = fingerprints_by_text(df.select(th.alias("_th"), F.col(text_col)), text_col, options.get("shingle", 3))
-    fps = shared_table(fps.groupBy("_th").agg(F.min("fp").alias("fp")), "fingerprints")
-    entries = fps.select("fp").distinct()
-    comp = components(fingerprint_links(entries, options.get("max_bits", 2), options.get("bucket_rows", BUCKET_ROWS)))
-    named = entries.join(comp, entries.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
-    # the least id of each text (nulls last), then the least of these in each component
-    first = df.select(th.alias("_th"), F.col(id_col).alias("id")).groupBy("_th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("at"))
-    least = first.join(fps, "_th").join(named, "fp").groupBy("component").agg(F.min(F.struct("at.none", "at.id", "_th")).alias("kept"))
-    least = shared_table(least.select(F.col("kept.id").alias("kept_id"), F.col("kept._th").alias("kept_th")), "kept")
-    # a row travels in a struct, so its columns may have any names
-    rows = df.select(F.struct("*").alias("row"), th.alias("th"), F.col(id_col).alias("id"))
-    rows = rows.join(least, (F.col("th") == F.col("kept_th")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["id", "th"]).select("row.*")
+    with passing_tables(df.sparkSession):
+        fps = fingerprints_by_text(df.select(th.alias("_th"), F.col(text_col)), text_col, options.get("shingle", 3))
+        fps = shared_table(fps.groupBy("_th").agg(F.min("fp").alias("fp")), "fingerprints")
+        entries = fps.select("fp").distinct()
+        comp = components(fingerprint_links(entries, options.get("max_bits", 2), options.get("bucket_rows", BUCKET_ROWS)))
+        named = entries.join(comp, entries.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+        # the least id of each text (nulls last), then the least of these in each component
+        first = df.select(th.alias("_th"), F.col(id_col).alias("id")).groupBy("_th").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("at"))
+        least = first.join(fps, "_th").join(named, "fp").groupBy("component").agg(F.min(F.struct("at.none", "at.id", "_th")).alias("kept"))
+        least = staying_table(least.select(F.struct("kept.id", F.col("kept._th").alias("th")).alias("key")), "kept")
+    # a row travels in a struct, so its columns may have any names; its key is one column, in
+    # which nulls are equal, so that join and removal of copies share one shuffle of the rows
+    rows = df.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id"), th.alias("th")).cast(least.schema["key"].dataType).alias("key"))
+    return rows.join(least, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def fingerprints_by_text(df: DataFrame, text_col: str, shingle: int) -> DataFrame:

@@ -1,5 +1,6 @@
 """SimHash near-dedup against brute force."""
 
+import os
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 import xxhash
 
 from docweave.llm import simhash as S
+from docweave.session import ensure_checkpoint_dir
 from llm_fixtures import docs  # noqa: F401
 
 
@@ -93,3 +95,19 @@ def test_one_of_each_keeps_different_texts_of_one_id(docs):
     one, two = " ".join(f"word{i}" for i in range(80)), " ".join(f"other{i}" for i in range(80))
     got = S.one_of_each(docs([(5, one), (5, two), (5, two), (6, one)])).collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, two), (5, one)])
+
+
+def test_one_of_each_moves_rows_once_and_leaves_one_table(docs):
+    df = docs([(1, "some words stand here alone"), (1, "some words stand here alone"), (None, "no id at all in this one")])
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = S.one_of_each(df)
+    assert [name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before] == ["docweave-kept"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # the rows and the kept keys
