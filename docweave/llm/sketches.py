@@ -11,7 +11,8 @@ Likeness is one less the share of differing digests.
 
 The next document (ascending id) is found without a global sort: ids are cut
 into ranges at sampled quantiles, the first document of each range is also
-dealt to the range before it, and each sorted range is read as a stream.
+dealt to the range before it, and each sorted range is read as a stream by a
+task of its own, which takes the differences of some hundred documents at once.
 
 Edge cases: a null text is empty, an empty text has an empty sketch (two of
 them are alike: 1.0); equal ids are ordered by
@@ -32,10 +33,12 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.common import texts, utf8
+from docweave.llm.common import run_starts, texts, utf8
 
 CELLS = 30  # of the stored fingerprint; a multiple of 3
 GROW = 4
+#: Cells of the sketches that are subtracted together; rows (and signs of their texts) that a task holds.
+MOST_CELLS, ROWS, SIGNS = 1 << 16, 256, 4 << 20
 SHORT, LONG, HEAD = 8, 32, 32
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -68,82 +71,108 @@ def _cells(keys: np.ndarray, size: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(32))) % third + (np.arange(3, dtype=np.uint64) * third)[:, None]).astype(np.int64)
 
 
-class Sketch:
-    """Count, digest XOR and check XOR of each cell."""
+class Sketches:
+    """Count, digest XOR and check XOR of each cell of many sketches of one size, a row each."""
 
     def __init__(self, count: np.ndarray, key: np.ndarray, check: np.ndarray):
         self.count, self.key, self.check = count, key, check
 
     @classmethod
-    def of(cls, keys: np.ndarray, size: int) -> Sketch:
-        at = _cells(keys, size).ravel()
-        key, check = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+    def of(cls, sets: list[np.ndarray], size: int) -> Sketches:
+        keys, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(k) for k in sets])
+        at = (_cells(keys, size) + row * size).ravel()
+        key, check = np.zeros(len(sets) * size, np.uint64), np.zeros(len(sets) * size, np.uint64)
         np.bitwise_xor.at(key, at, np.tile(keys, 3))
         np.bitwise_xor.at(check, at, np.tile(_checks(keys), 3))
-        return cls(np.bincount(at, minlength=size).astype(np.int64), key, check)
-
-    def minus(self, other: Sketch) -> Sketch:
-        return Sketch(self.count - other.count, self.key ^ other.key, self.check ^ other.check)
-
-    def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """Digests only in the first and only in the second version; None if peeling stops early."""
-        count, key, check = self.count.copy(), self.key.copy(), self.check.copy()
-        gone: list[np.ndarray] = []
-        signs: list[np.ndarray] = []
+        shape = len(sets), size
+        return cls(np.bincount(at, minlength=key.size).reshape(shape), key.reshape(shape), check.reshape(shape))
+
+    def minus(self, other: Sketches) -> Sketches:
+        return Sketches(self.count - other.count, self.key ^ other.key, self.check ^ other.check)
+
+    def peel(self) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Of each row the digests only in the first and only in the second version; None if peeling stops early."""
+        rows, size = self.count.shape
+        count, key, check = (x.reshape(-1).copy() for x in (self.count, self.key, self.check))
+        row, gone, signs = ([np.zeros(0, kind)] for kind in (np.int64, np.uint64, np.int64))
+        look = np.arange(rows * size)
         while True:
-            pure = np.flatnonzero(np.abs(count) == 1)
+            pure = look[np.abs(count[look]) == 1]
             pure = pure[_checks(key[pure]) == check[pure]]
             if not len(pure):
                 break
-            keys, first = np.unique(key[pure], return_index=True)
-            sign = count[pure[first]]
-            at = _cells(keys, len(count)).ravel()
+            order = np.lexsort((pure, key[pure], pure // size))
+            pure = pure[order]
+            keys, own = key[pure], pure // size
+            first = run_starts(own, keys)
+            keys, own, sign = keys[first], own[first], count[pure[first]]
+            at = (_cells(keys, size) + own * size).ravel()
             np.bitwise_xor.at(key, at, np.tile(keys, 3))
             np.bitwise_xor.at(check, at, np.tile(_checks(keys), 3))
             np.subtract.at(count, at, np.tile(sign, 3))
+            row.append(own)
             gone.append(keys)
             signs.append(sign)
-        if count.any() or key.any():
-            return None
-        keys = np.concatenate(gone) if gone else np.zeros(0, np.uint64)
-        sign = np.concatenate(signs) if signs else np.zeros(0, np.int64)
-        return keys[sign > 0], keys[sign < 0]
+            look = np.unique(at)  # other cells stay as they are
+        left = (count != 0).reshape(rows, size).any(axis=1) | (key != 0).reshape(rows, size).any(axis=1)
+        own, keys, sign = (np.concatenate(x) for x in (row, gone, signs))
+        order = np.lexsort((sign, own))
+        ends = np.cumsum(np.bincount(2 * own + (sign > 0), minlength=2 * rows))[:-1]
+        parts = np.split(keys[order], ends)
+        return [None if left[i] else (parts[2 * i + 1], parts[2 * i]) for i in range(rows)]
 
 
 class Version:
-    """A text's digests and its sketches by size."""
+    """A text's digests."""
 
     def __init__(self, text: str):
         self.keys = digests(text)
-        self.sketches: dict[int, Sketch] = {}
-
-    def sketch(self, size: int) -> Sketch:
-        if size not in self.sketches:
-            self.sketches[size] = Sketch.of(self.keys, size)
-        return self.sketches[size]
 
     def fingerprint(self) -> str:
-        s = self.sketch(CELLS)
-        rows = np.rec.fromarrays([s.count.astype(">i4"), s.key.astype(">u8"), s.check.astype(">u4")])
-        return base64.b64encode(struct.pack(">I", len(self.keys)) + rows.tobytes()).decode()
+        return fingerprints([self])[0]
+
+
+def fingerprints(versions: list[Version]) -> list[str]:
+    """The number of digests and the sketch of ``CELLS`` cells of each version."""
+    s = Sketches.of([v.keys for v in versions], CELLS)
+    cells = np.empty(s.count.shape, [("count", ">i4"), ("key", ">u8"), ("check", ">u4")])
+    cells["count"], cells["key"], cells["check"] = s.count, s.key, s.check
+    return [base64.b64encode(struct.pack(">I", len(v.keys)) + c.tobytes()).decode() for v, c in zip(versions, cells)]
+
+
+def differences(pairs: list[tuple[Version, Version]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Digests only in the first and only in the second version of each pair, by subtracting and
+    peeling sketches; pairs of one size are gone through together."""
+    out: list = [None] * len(pairs)
+    open_: dict[int, list[int]] = {}
+    for i, (a, b) in enumerate(pairs):
+        size = CELLS
+        least = 1.3 * abs(len(a.keys) - len(b.keys))  # fewer cells can't hold the difference
+        while size < least:
+            size *= GROW
+        open_.setdefault(size, []).append(i)
+    while open_:
+        size = min(open_)
+        waiting, step = open_.pop(size), max(1, MOST_CELLS // size)
+        for some in (waiting[k:k + step] for k in range(0, len(waiting), step)):
+            one, two = (Sketches.of([pairs[i][side].keys for i in some], size) for side in (0, 1))
+            for i, found in zip(some, one.minus(two).peel()):
+                if found is None:
+                    open_.setdefault(size * GROW, []).append(i)
+                out[i] = found
+    return out
 
 
 def difference(a: Version, b: Version) -> tuple[np.ndarray, np.ndarray]:
-    """Digests only in ``a`` and only in ``b``, by subtracting and peeling sketches."""
-    size = CELLS
-    least = 1.3 * abs(len(a.keys) - len(b.keys))  # fewer cells can't hold the difference
-    while size < least:
-        size *= GROW
-    while True:
-        found = a.sketch(size).minus(b.sketch(size)).peel()
-        if found is not None:
-            return found
-        size *= GROW
+    return differences([(a, b)])[0]
 
 
-def likeness(a: Version, b: Version) -> float:
-    both = len(a.keys) + len(b.keys)
-    return 1.0 - sum(map(len, difference(a, b))) / both if both else 1.0
+def likenesses(pairs: list[tuple[Version, Version]]) -> list[float]:
+    out = []
+    for (a, b), found in zip(pairs, differences(pairs)):
+        both = len(a.keys) + len(b.keys)
+        out.append(1.0 - sum(map(len, found)) / both if both else 1.0)
+    return out
 
 
 def edited(text: str, following: str) -> str:
@@ -155,7 +184,7 @@ def edited(text: str, following: str) -> str:
 def in_order(docs: DataFrame) -> DataFrame:
     """``(block, extra, doc_id, text)``: id ranges, each with the document that follows it (``extra``)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = np.array(docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.5 / n) if n > 1 else [])
+    cuts = np.array(docs.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else [])
     cuts = np.unique(cuts)  # as many as shuffle partitions
 
     @F.pandas_udf("int")
@@ -184,29 +213,40 @@ def fingerprint_versions(df: DataFrame, id_col: str = "doc_id", text_col: str =
     near_edited, near_next)`` for each row."""
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
-    def row(doc_id, text, own: Version, next_text, following: Version):
-        changed = edited(text, next_text)
-        other = Version(changed)
-        return (doc_id, len(text), hashlib.sha256(utf8(changed)).hexdigest(), own.fingerprint(), other.fingerprint(),
-                likeness(own, other), likeness(own, following))
+    def made(held: list[tuple]) -> pd.DataFrame:
+        """Rows of ``(doc_id, text, own version, next text, next version)``."""
+        changed = [edited(text, following) for _, text, _, following, _ in held]
+        own, other, after = [h[2] for h in held], [Version(t) for t in changed], [h[4] for h in held]
+        near = likenesses([*zip(own, other), *zip(own, after)])
+        prints = fingerprints(own + other)
+        n = len(held)
+        hashes = [hashlib.sha256(utf8(t)).hexdigest() for t in changed]
+        rows = zip((h[0] for h in held), (len(h[1]) for h in held), hashes, prints[:n], prints[n:], near[:n], near[n:])
+        return pd.DataFrame(list(rows), columns=names).astype({"doc_id": "Int64"})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, held, ended = None, None, False
+        block, before, ended = None, None, False
+        held, signs = [], 0
         for f in frames:
-            out = []
             for b, extra, doc_id, text in zip(f["block"], f["extra"], f["doc_id"], f["text"]):
                 if b != block:
-                    block, held, ended = b, None, False
+                    block, before, ended = b, None, False
                 if ended:
                     continue  # the following document came more than once (repeated rows)
                 now = Version(text)
-                if held is not None:
-                    out.append(row(*held, text, now))
-                held, ended = (doc_id, text, now), bool(extra)
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                if before is not None:
+                    held.append((*before, text, now))
+                    signs += len(text)
+                before, ended = (doc_id, text, now), bool(extra)
+                if len(held) >= ROWS or signs >= SIGNS:
+                    yield made(held)
+                    held, signs = [], 0
+        if held:
+            yield made(held)
 
     rows = in_order(texts(df, id_col, text_col))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task each: ranges are about equally large
     # within a range: its documents in order, then the one that follows it
-    rows = rows.repartition("block").sortWithinPartitions("block", "extra", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    rows = rows.repartitionById(ranges, "block").sortWithinPartitions("block", "extra", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return rows.mapInPandas(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                                  "near_edited double, near_next double")

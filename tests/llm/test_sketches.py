@@ -48,3 +48,27 @@ def test_edge_tables(docs):
     rows = S.fingerprint_versions(docs([(None, "a b"), (1, "c d"), (1, "c d"), (2, "e f"), (2, "e f")])).collect()
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 1, 2, 2]
     assert S.fingerprint_versions(docs([])).count() == 0
+
+
+def test_many_pairs_are_peeled_together(monkeypatch):
+    rng, peeled = random.Random(4), []
+    words = lambda n: " ".join(str(rng.randint(0, 10**6)) for _ in range(n))
+    versions = [S.Version(words(rng.choice([0, 3, 40, 400, 3000]))) for _ in range(40)]
+    versions += [S.Version(words(40) + "\n" + words(900)) for _ in range(20)] + versions[:5]
+    pairs = [*zip(versions, versions[1:]), (versions[0], versions[0])]
+    real = S.Sketches.peel
+    monkeypatch.setattr(S.Sketches, "peel", lambda self: peeled.append(len(self.count)) or real(self))
+    for most in (S.MOST_CELLS, 1):
+        monkeypatch.setattr(S, "MOST_CELLS", most)
+        for (a, b), (mine, theirs) in zip(pairs, S.differences(pairs)):
+            assert set(mine) == set(a.keys) - set(b.keys) and set(theirs) == set(b.keys) - set(a.keys)
+            assert len(mine) == len(set(mine)) and len(theirs) == len(set(theirs))
+        if most > 1:
+            assert len(peeled) < 12 < max(peeled)
+
+
+def test_ranges_are_dealt_evenly(docs):
+    n = int(docs([]).sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = S.fingerprint_versions(docs([(i * 3, f"text {i}") for i in range(100 * n)]))
+    sizes = [r["count"] for r in found.groupBy(S.F.spark_partition_id()).count().collect()]
+    assert len(sizes) == n and sum(sizes) == 100 * n and max(sizes) <= 150
